@@ -95,13 +95,18 @@ def gather_candidates(companies: DataFrame, entities: DataFrame, hints: DataFram
     return rows.groupBy("company_id", "cik").agg(F.sum("score").alias("score"), F.bool_or("id_backed").alias("id_backed"), F.bool_or("exact").alias("exact"), F.array_sort(F.collect_set("how")).alias("evidence"))
 
 
-def validate(candidates: DataFrame, companies: DataFrame, profiles: DataFrame) -> DataFrame:
-    """Candidates that pass the gate, with their total. profiles: cik, names (normalised), tickers."""
-    rows = candidates.join(companies.select("company_id", "norm", "ticker"), "company_id").join(profiles, "cik")
+def validate(candidates: DataFrame, companies: DataFrame, profiles: DataFrame, hints: DataFrame) -> DataFrame:
+    """Candidates that pass the gate, with their total. profiles: cik, names (normalised), tickers.
+
+    A ticker matches if the company's own or one of its (at most five) hints' stands in the profile.
+    """
+    own = companies.select("company_id", "ticker").unionByName(hints.select("company_id", "ticker")).where("ticker <> ''")
+    wanted = own.groupBy("company_id").agg(F.collect_set("ticker").alias("wanted"))
+    rows = candidates.join(companies.select("company_id", "norm"), "company_id").join(wanted, "company_id", "left").join(profiles, "cik")
     each = rows.select("*", F.explode_outer("names").alias("__name")).withColumn("__sim", similarity(F.col("norm"), F.coalesce("__name", F.lit(""))))
     best = each.groupBy("company_id", "cik").agg(F.max("__sim").alias("best"))
     rows = rows.join(best, ["company_id", "cik"])
-    ticker = (F.col("ticker") != "") & F.coalesce(F.array_contains("tickers", F.col("ticker")), F.lit(False))
+    ticker = F.coalesce(F.arrays_overlap("wanted", "tickers"), F.lit(False))
     same = F.coalesce(F.get("names", F.lit(0)) == F.col("norm"), F.lit(False))
     threshold = numbers.name_threshold(F.col("norm"))
     gate = F.when(F.col("id_backed"), F.col("best") >= F.greatest(F.lit(0.72), threshold - 0.18)).otherwise(F.col("best") >= F.greatest(F.lit(0.84), threshold - 0.06))
