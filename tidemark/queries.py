@@ -2,33 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fixed
+from . import extraction_queries, fixed
 from .functions import dates, digests, numbers, text
 from .operators import archive, classify, dedup, holdings, incremental, merge, outbox, resolve, retry, rollup, topk
+from .registry import ORACLE_SQL, QUERIES, query, table
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE_SQL: dict[str, str] = {}
-
-
-def query(sql: str | None = None):
-    """Registers a query under its function's name."""
-
-    def add(f):
-        QUERIES[f.__name__] = f
-        if sql:
-            ORACLE_SQL[f.__name__] = sql
-        return f
-
-    return add
-
-
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+__all__ = ["ORACLE_SQL", "QUERIES", "extraction_queries"]
 
 COMPACT = "strftime(ts, '%Y%m%d%H%M%S')"
 

@@ -64,10 +64,10 @@ COMPANY = f"struct<cik:string,name:string,tickers:array<string>,exchanges:array<
 
 def unfold_recent(rows: DataFrame, recent: Column) -> DataFrame:
     """Filings from parallel arrays; short arrays are padded. rows: cik, company_name."""
-    zipped = F.arrays_zip(recent["accessionNumber"], recent["filingDate"], recent["acceptanceDateTime"], recent["form"], recent["primaryDocument"])
-    flat = rows.select("cik", "company_name", F.posexplode(zipped).alias("position", "z"))
     names = {"accessionNumber": "accession", "filingDate": "filed", "acceptanceDateTime": "accepted", "form": "form_type", "primaryDocument": "primary_document"}
-    each = flat.select("cik", "company_name", "position", *(F.col(f"z.{a}").alias(b) for a, b in names.items()))
+    none = F.array().cast("array<string>")  # a missing array is a short one
+    zipped = F.arrays_zip(*(F.coalesce(recent[a], none).alias(b) for a, b in names.items()))
+    each = rows.select("cik", "company_name", F.posexplode(zipped).alias("position", "z")).select("cik", "company_name", "position", "z.*")
     return each.where(text.is_accession(F.col("accession"))).select(
         "accession", "cik", F.coalesce("company_name", F.lit("UNKNOWN")).alias("company_name"), F.coalesce(text.blank_to_null(F.col("form_type")), F.lit("UNKNOWN")).alias("form_type"),
         dates.parse_date(F.col("filed")).alias("filing_date"), dates.parse_timestamp(F.col("accepted")).alias("accepted_at"), text.blank_to_null(F.col("primary_document")).alias("primary_document"), "position",
