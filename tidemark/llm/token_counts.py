@@ -61,7 +61,8 @@ def pre_token_counts(docs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame
                 if len(held) > HELD:
                     yield pd.DataFrame({"piece": list(held), "n": list(held.values())})
                     held.clear()
-        yield pd.DataFrame({"piece": list(held), "n": list(held.values())}).astype({"n": "int64"})
+        if held:
+            yield pd.DataFrame({"piece": list(held), "n": list(held.values())})
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         encoder = library(vocabulary)
