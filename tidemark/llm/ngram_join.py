@@ -2,19 +2,23 @@
 
 Words (A-Z lower-cased, separated by ASCII white space) give sets of four-word shingles as 64-bit hashes.
 Documents of one set are one node, so exact copies cost nothing further. In a fixed order of all
-shingles, two sets that are similar enough share one of their first n - ceil(threshold n) + 1 shingles.
-Frequent shingles, found by counts over all documents, come last in the order.
+shingles, two sets that are similar enough share `SHARED` of their first n - ceil(threshold n) + SHARED
+shingles (fewer where the sets are smaller). Frequent shingles, found by counts over all documents, come
+last in the order.
 
 1. Nodes with the same prefix and size form a group that posts once. Postings (shingle, group) of all
    prefixes are gathered by shingle. Short lists give all their pairs of groups that size and position
-   allow; the pairs are expanded to the groups' members, of which a group has `GROUP` at most.
-2. Long lists, however long, give star pairs instead: each node with the first node of its list and
-   size band. Their other pairs are held back.
+   allow; pairs that stand in enough short lists, or in any if both groups post to long ones too, are
+   expanded to the groups' members, of which a group has `GROUP` at most.
+2. Long lists, however long, give star pairs instead: each node with the node of its list and size band
+   that stands in most long lists. Their other pairs are held back.
 3. Pairs whose counts per hash range rule out enough common shingles are dropped (an upper bound, so
    exact). Of the rest, one pair for each node is verified first; then those between different
    components.
 4. Of the long lists, the pairs between different components are formed now (members outside a list's
-   largest component with all members), filtered and verified. So each pair of similar nodes is either
+   largest component with all members), where positions leave room, filtered and verified. The first
+   shingle that two similar nodes share stands either in a long list, and leaves room, or in a short one;
+   then the first `SHARED` of them do, or both nodes post to long lists. So each pair of similar nodes is
    verified or already in one component, and no list is expanded into all its pairs.
 
 Defined results: null, empty and white-space texts have 0 shingles and link with nothing, not even each
@@ -37,6 +41,8 @@ from .components import components
 
 WORDS = 4
 THRESHOLD = 85
+#: Shingles that two prefixes must share.
+SHARED = 3
 #: The longest list whose pairs are formed directly.
 SHORT = 128
 #: The most members of a group.
@@ -76,8 +82,13 @@ def fingerprint(s: np.ndarray) -> int:
     return int(np.uint64(xxhash.xxh3_64_intdigest(s.tobytes())).astype(np.int64))
 
 
-def prefix_length(n: np.ndarray | int, threshold: int = THRESHOLD):
-    return n - -(-threshold * n // 100) + 1
+def shared(n, threshold: int = THRESHOLD):
+    """Shingles that the prefix of a set of n shares with that of any similar set, at least."""
+    return np.minimum(SHARED, -(-threshold * n // 100))
+
+
+def prefix_length(n: int, threshold: int = THRESHOLD) -> int:
+    return int(n - -(-threshold * n // 100) + shared(n, threshold))
 
 
 def range_counts(s: np.ndarray) -> bytes:
@@ -91,7 +102,7 @@ def needed(n1, n2, threshold: int):
 
 
 def survey(docs: DataFrame, words: int) -> DataFrame:
-    """One sweep over all texts: rows (0, id, n, node) per document and (1, null, count, shingle) for shingles that repeat within a block of documents."""
+    """One sweep over all texts: rows (0, id, n, node, ranges) per document and (1, null, count, shingle, null) for shingles that repeat within a block of documents."""
 
     def sweep(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: list[np.ndarray] = []
@@ -100,27 +111,28 @@ def survey(docs: DataFrame, words: int) -> DataFrame:
         def repeated() -> pd.DataFrame:
             values, counts = np.unique(np.concatenate(held), return_counts=True) if held else (np.empty(0, np.uint64), np.empty(0, np.int64))
             often = counts >= LOCAL
-            return pd.DataFrame({"kind": np.int8(1), "id": pd.array([pd.NA] * int(often.sum()), "Int64"), "n": counts[often], "key": values[often].view(np.int64)})
+            return pd.DataFrame({"kind": np.int8(1), "id": pd.array([pd.NA] * int(often.sum()), "Int64"), "n": counts[often], "key": values[often].view(np.int64), "ranges": None})
 
         seen: set[int] = set()
         for batch in batches:
-            ns, keys = [], []
+            ns, keys, ranges = [], [], []
             for text in batch["text"]:
                 s = shingles(text, words)
                 ns.append(len(s))
                 keys.append(fingerprint(s) if len(s) else 0)
+                ranges.append(range_counts(s))
                 if len(s) and keys[-1] not in seen:
                     seen.add(keys[-1])
                     held.append(s)
                     size += len(s)
-            yield pd.DataFrame({"kind": np.int8(0), "id": batch["id"].astype("Int64"), "n": ns, "key": keys})
+            yield pd.DataFrame({"kind": np.int8(0), "id": batch["id"].astype("Int64"), "n": ns, "key": keys, "ranges": ranges})
             if size > HELD:
                 yield repeated()
                 held, size = [], 0
                 seen.clear()
         yield repeated()
 
-    return docs.select("id", "text").mapInPandas(sweep, "kind byte, id long, n long, key long")
+    return docs.select("id", "text").mapInPandas(sweep, "kind byte, id long, n long, key long, ranges binary")
 
 
 def frequent_shingles(counts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
@@ -197,14 +209,14 @@ def rows_of(kind: int, token, node: int, place) -> tuple[np.ndarray, ...]:
 
 
 def allowed(place1, place2, threshold: int):
-    """Whether sizes and positions of a common shingle leave room for enough common shingles."""
+    """Whether sizes and positions leave room for enough common shingles, if this is one of the first SHARED."""
     n1, n2 = place1 >> 32, place2 >> 32
-    rest = np.minimum(n1 - (place1 & 0xFFFFFFFF), n2 - (place2 & 0xFFFFFFFF))
+    rest = np.minimum(n1 - (place1 & 0xFFFFFFFF), n2 - (place2 & 0xFFFFFFFF)) + SHARED - 1
     return (100 * np.minimum(n1, n2) >= threshold * np.maximum(n1, n2)) & (rest >= needed(n1, n2, threshold))
 
 
 def list_pairs(posted: DataFrame, threshold: int, short: int = SHORT) -> DataFrame:
-    """Pairs of groups from short lists (0, a, b, 0), the rows of long lists (1, group, token, place), and what isn't a posting as it is."""
+    """Pairs of groups from short lists (0, a, b, 8 times the number of lists + the number needed), the rows of long lists (1, group, token, place), and what isn't a posting as it is."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         carry: pd.DataFrame | None = None
@@ -219,7 +231,7 @@ def list_pairs(posted: DataFrame, threshold: int, short: int = SHORT) -> DataFra
             long = np.repeat((length > short) | (token[start] == long_token if long_token is not None else False), length)
             parts = [pd.DataFrame({"kind": np.int8(1), "a": node[long], "b": token[long], "place": place[long]})]
             token, node, place = token[~long], node[~long], place[~long]
-            us, vs = [], []
+            us, vs, needs = [], [], []
             for d in range(1, short):
                 same = np.flatnonzero(token[d:] == token[:-d]) if d < len(token) else np.zeros(0, int)
                 if not len(same):
@@ -227,9 +239,11 @@ def list_pairs(posted: DataFrame, threshold: int, short: int = SHORT) -> DataFra
                 ok = same[allowed(place[same], place[same + d], threshold)]
                 us.append(np.minimum(node[ok], node[ok + d]))
                 vs.append(np.maximum(node[ok], node[ok + d]))
+                needs.append(shared(np.minimum(place[ok], place[ok + d]) >> 32, threshold))
             if us:
-                pairs = pd.DataFrame({"kind": np.int8(0), "a": np.concatenate(us), "b": np.concatenate(vs), "place": np.int64(0)}).drop_duplicates()
-                parts.append(pairs)
+                pairs = pd.DataFrame({"a": np.concatenate(us), "b": np.concatenate(vs), "need": np.concatenate(needs)})
+                lists = pairs.groupby(["a", "b", "need"], as_index=False).size()
+                parts.append(pd.DataFrame({"kind": np.int8(0), "a": lists["a"], "b": lists["b"], "place": 8 * lists["size"] + lists["need"]}))
             return pd.concat(parts)
 
         for batch in batches:
@@ -261,31 +275,36 @@ def list_pairs(posted: DataFrame, threshold: int, short: int = SHORT) -> DataFra
 
 
 def sets_of(docs: DataFrame, nodes: DataFrame, words: int) -> DataFrame:
-    """node, n, ranges, shingles (bytes) of the nodes asked for, one row each."""
+    """node, shingles (bytes) of the nodes asked for (node, id: its least document).
+
+    Copies that share the least id give equal rows, which is harmless where pairs are verified.
+    """
     spark = docs.sparkSession
     few = nodes.limit(MOST_NODES + 1).count() <= MOST_NODES
-    wanted = spark.sparkContext.broadcast(np.sort(nodes.toPandas()["node"].to_numpy(np.int64)) if few else None)
+    table = nodes.select("node", F.coalesce("id", F.lit(-1)).alias("id"), F.col("id").isNull().alias("any")).orderBy("node").toPandas() if few else None
+    wanted = spark.sparkContext.broadcast(tuple(table[c].to_numpy() for c in ("node", "id", "any")) if few else None)
 
     def collect(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         ask, seen = wanted.value, set()
         for batch in batches:
             rows = []
-            for text in batch["text"]:
+            for key, text in zip(batch["id"].astype("Int64"), batch["text"], strict=True):
                 s = shingles(text, words)
                 if not len(s) or (node := fingerprint(s)) in seen:
                     continue
+                if ask is not None:
+                    at = int(np.searchsorted(ask[0], node))
+                    if at == len(ask[0]) or ask[0][at] != node or not (ask[2][at] or key is not pd.NA and ask[1][at] == key):
+                        continue
                 seen.add(node)
-                if ask is None or len(ask) and ask[min(np.searchsorted(ask, node), len(ask) - 1)] == node:
-                    rows.append((node, len(s), range_counts(s), s.tobytes()))
-            yield pd.DataFrame(rows, columns=["node", "n", "ranges", "shingles"])
+                rows.append((node, s.tobytes()))
+            yield pd.DataFrame(rows, columns=["node", "shingles"])
 
-    found = docs.select("text").mapInPandas(collect, "node long, n long, ranges binary, shingles binary")
-    if not few:
-        found = found.join(nodes, "node", "left_semi")
-    return found.dropDuplicates(["node"])
+    found = docs.select("id", "text").mapInPandas(collect, "node long, shingles binary")
+    return found if few else found.join(nodes.select("node"), "node", "left_semi").dropDuplicates(["node"])
 
 
-def possible(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
+def possible(pairs: DataFrame, nodes: DataFrame, threshold: int) -> DataFrame:
     """Pairs u, v that the counts per hash range don't rule out."""
 
     @F.pandas_udf("boolean")
@@ -296,8 +315,8 @@ def possible(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
         common = np.where(np.minimum(a, b) == 65535, 1 << 40, np.minimum(a, b)).sum(1)
         return pd.Series(common >= needed(n1.to_numpy(), n2.to_numpy(), threshold))
 
-    one = sets.select(F.col("node").alias("u"), F.col("n").alias("n1"), F.col("ranges").alias("r1"))
-    two = sets.select(F.col("node").alias("v"), F.col("n").alias("n2"), F.col("ranges").alias("r2"))
+    one = nodes.select(F.col("node").alias("u"), F.col("n").alias("n1"), F.col("ranges").alias("r1"))
+    two = nodes.select(F.col("node").alias("v"), F.col("n").alias("n2"), F.col("ranges").alias("r2"))
     return pairs.join(one, "u").join(two, "v").where(enough("n1", "n2", "r1", "r2")).select("u", "v")
 
 
@@ -313,11 +332,18 @@ def verified(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
             out.append(100 * common >= threshold * (len(a) + len(b) - common))
         return pd.Series(out, dtype=bool)
 
+    asked = pairs.select(F.col("u").alias("node")).union(pairs.select("v")).distinct()
+    sets = sets.join(asked, "node", "left_semi")  # few of them are needed after the first round
     one = sets.select(F.col("node").alias("u"), F.col("shingles").alias("s1"))
     two = sets.select(F.col("node").alias("v"), F.col("shingles").alias("s2"))
     return pairs.join(one, "u").join(two, "v").where(similar("s1", "s2")).select("u", "v")
 
 
+def nodes_in(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """node, id of the nodes that stand in pairs."""
+    return cut(nodes.select("node", "id").join(pairs.select(F.col("u").alias("node")).union(pairs.select("v")).distinct(), "node", "left_semi"))
+
+
 def across(pairs: DataFrame, roots: DataFrame) -> DataFrame:
     """Pairs whose nodes are in different components."""
     one, two = roots.select(F.col("node").alias("u"), F.col("root").alias("r1")), roots.select(F.col("node").alias("v"), F.col("root").alias("r2"))
@@ -331,23 +357,28 @@ def link(docs: DataFrame, survey_rows: DataFrame, words: int, threshold: int, sh
     frequent = spark.sparkContext.broadcast(frequent_shingles(survey_rows.where("kind = 1").select("key", "n")))
     lists = cut(list_pairs(postings(docs, frequent, words, threshold), threshold, short))
     members = lists.where("kind = 3").select(F.col("a").alias("member"), F.col("b").alias("group")).distinct()
-    pairs = lists.where("kind = 0").select("a", "b").distinct()
+    counted = lists.where("kind = 0").groupBy("a", "b").agg(F.sum(F.expr("place div 8")).alias("lists"), F.min(F.expr("place % 8")).alias("need"))
+    posted_long = cut(lists.where("kind = 1").select(F.col("a").alias("posted")).distinct())
+    fewer = counted.where("lists < need")  # the other lists that they share may be long
+    for side in ("a", "b"):
+        fewer = fewer.join(posted_long, F.col(side) == F.col("posted"), "left_semi")
+    pairs = counted.where("lists >= need").unionByName(fewer).select("a", "b")
     for side in ("a", "b"):  # groups become their members
         pairs = pairs.join(members, pairs[side] == members["group"], "left").withColumn(side, F.coalesce("member", side)).select("a", "b")
     pairs = pairs.union(lists.where("kind = 2").select("a", "b")).where("a <> b").select(F.least("a", "b").alias("u"), F.greatest("a", "b").alias("v"))
     long = lists.where("kind = 1").select(F.col("b").alias("token"), F.col("a").alias("node"), "place").distinct()
     long = long.join(members, long["node"] == members["group"], "left").select("token", F.coalesce("member", "node").alias("node"), "place").distinct()
-    # star pairs: the first node of a list's size band with the rest of the band and of the next
+    # star pairs: the head of a list's size band with the rest of the band and of the next
     size = F.shiftright("place", 32)
     band = F.floor(F.log(size) / float(np.log(100 / threshold))).cast("int")
-    banded = long.withColumn("band", band)
-    heads = banded.groupBy("token", "band").agg(F.min("node").alias("head"))
+    weights = long.groupBy("node").agg(F.count("*").alias("weight"))
+    banded = cut(long.join(weights, "node").withColumn("band", band))
+    heads = banded.groupBy("token", "band").agg(F.max_by("node", F.struct("weight", "node")).alias("head"))
     near = banded.select("token", "node", F.explode(F.array("band", F.col("band") - 1)).alias("band"))
     stars = near.join(heads, ["token", "band"]).where("node <> head").select(F.least("node", "head").alias("u"), F.greatest("node", "head").alias("v"))
-    pairs = cut(pairs.unionByName(stars).distinct())
-    nodes = pairs.select(F.col("u").alias("node")).union(pairs.select("v")).union(long.select("node")).distinct()
-    sets = cut(sets_of(docs, cut(nodes), words))
-    pairs = cut(possible(pairs, sets, threshold))
+    nodes = survey_rows.where("kind = 0 AND n > 0").groupBy(F.col("key").alias("node")).agg(F.first("n").alias("n"), F.first("ranges").alias("ranges"), F.min("id").alias("id"))
+    pairs = cut(possible(pairs.unionByName(stars).distinct(), nodes, threshold))
+    sets = cut(sets_of(docs, nodes_in(pairs, nodes), words))
     # one pair for each node, with its least partner, joins most of what belongs together
     first = pairs.groupBy("v").agg(F.min("u").alias("u")).select("u", "v")
     links = cut(verified(first, sets, threshold))
@@ -368,8 +399,10 @@ def link(docs: DataFrame, survey_rows: DataFrame, words: int, threshold: int, sh
     sized = 100 * F.least(n1, n2) >= threshold * F.greatest(n1, n2)
     cross = one.join(two, "token").where((F.col("r1") != F.col("r2")) & ((F.col("r2") == F.col("main")) | (F.col("u") < F.col("v"))) & sized & room)
     cross = cross.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
-    links = cut(links.unionByName(verified(cut(possible(cross, sets, threshold)), sets, threshold)))
-    return components(links)
+    cross = cut(possible(cross, nodes, threshold))
+    if cross.isEmpty():
+        return roots
+    return components(links.unionByName(verified(cross, cut(sets_of(docs, nodes_in(cross, nodes), words)), threshold)))
 
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, threshold: int = THRESHOLD, short: int = SHORT) -> DataFrame:
