@@ -80,3 +80,9 @@ def test_scaling(spark, x, scale, sign, y):
 def test_canonical_json(spark):
     row = spark.range(1).select(digests.canonical_json(b=F.lit(None).cast("string"), a=F.lit(1)).alias("j"), digests.event_id(F.lit("s"), F.lit("k")).alias("e")).first()
     assert row["j"] == '{"a":1,"b":null}' and len(row["e"]) == 32
+
+
+def test_names_of_workbooks(spark):
+    rows = [("https://a/x.xlsx?b", None, None, True), ("https://a", "application/vnd.openxmlformats-officedocument.spreadsheetml.sheet", None, True), ("https://a", "text/html", 'attachment; filename="H.XLSX"', True), ("https://a/x.xlsx.html", "text/html", None, False), (None, None, None, False)]
+    df = spark.createDataFrame(rows, "u string, k string, d string, y boolean")
+    assert all(r["x"] == r["y"] for r in df.withColumn("x", text.names_workbook(F.col("u"), F.col("k"), F.col("d"))).collect())

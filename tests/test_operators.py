@@ -1,7 +1,6 @@
 """Operators on small inputs, with properties that must hold for any."""
 
 import hashlib
-import io
 import zipfile
 
 import pytest
@@ -186,17 +185,6 @@ def test_metrics(spark):
     assert health["status"] == "ok"
 
 
-def workbook(rows):
-    cells = "".join(f'<row r="{i}">' + "".join(f'<c r="{c}{i}" t="inlineStr"><is><t>{v}</t></is></c>' if isinstance(v, str) else f'<c r="{c}{i}"><v>{v}</v></c>' for c, v in zip("ABCD", row, strict=False) if v is not None) + "</row>" for i, row in rows)
-    space = 'xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main"'
-    raw = io.BytesIO()
-    with zipfile.ZipFile(raw, "w") as z:
-        z.writestr("[Content_Types].xml", "<Types/>")
-        z.writestr("xl/workbook.xml", f'<workbook {space}><sheets><sheet name="Holdings" sheetId="1"/></sheets></workbook>')
-        z.writestr("xl/worksheets/sheet1.xml", f"<worksheet {space}><sheetData>{cells}</sheetData></worksheet>")
-    return raw.getvalue()
-
-
 def test_sources(spark, tmp_path):
     atom = """<feed xmlns="http://www.w3.org/2005/Atom"><entry><title>8-K - X CO (0000000077) (Filer)</title><link href="https://www.sec.gov/Archives/edgar/data/77/000000007726000001/0000000077-26-000001-index.htm"/>
     <summary type="html">&lt;b&gt;Filed:&lt;/b&gt; 2026-01-02 &lt;b&gt;AccNo:&lt;/b&gt; 0000000077-26-000001</summary><updated>2026-01-02T03:04:05-05:00</updated><category term="8-K/A"/></entry>
@@ -223,7 +211,7 @@ def test_sources(spark, tmp_path):
     assert [(r["line_no"], r["line"]) for r in lines] == [(0, "1\ta"), (2, "2\tb�")]
     folder = tmp_path / "2026-03-30"
     folder.mkdir()
-    (folder / "h.xlsx").write_bytes(workbook([(1, ["t"]), (5, ["A", "c", "US0378331005", 0.25]), (6, ["B", None, None, 1])]))
+    (folder / "h.xlsx").write_bytes(tables.build_workbook([("A", "c", "US0378331005", 0.25), ("B & C", None, None, 1)], [["t"], [], [], ["Name", "CUSIP", "ISIN", "Weight"]]))
     held = tables.constituents(spark.read.format("binaryFile").load(str(folder))).collect()
     assert [(r["name"], r["isin"], r["weight"], r["as_of_date"]) for r in held] == [("A", "US0378331005", 0.25, "2026-03-30")]
     (tmp_path / "w.yaml").write_text("companies:\n- {cik: 1, ticker: A, name: One, aliases: [x]}\n- {cik: 1, ticker: B, name: Again}\n- {cik: bad, ticker: C, name: Three}\n- {ticker: D}\n")

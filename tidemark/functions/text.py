@@ -187,3 +187,10 @@ def looks_like_json(x: Column) -> Column:
 
 def preview(x: Column, limit: int = 160) -> Column:
     return F.trim(F.replace(F.substring(x, 1, limit), F.lit("\n"), F.lit(" ")))
+
+
+def names_workbook(url: Column, kind: Column, disposition: Column) -> Column:
+    """Whether a response's url, MIME type or file name speaks of a workbook (its bytes are tested by the reader)."""
+    file = F.lower(F.coalesce(disposition_filename(disposition), F.lit("")))
+    mime = F.lower(F.coalesce(kind, F.lit("")))
+    return file.endswith(".xlsx") | mime.contains("spreadsheetml") | F.coalesce(F.lower(url).rlike(r"\.xlsx(?:[?#]|$)"), F.lit(False))

@@ -156,6 +156,37 @@ def constituents(files: DataFrame) -> DataFrame:
     return rows.withColumn("as_of_date", F.coalesce(F.nullif(dates.leading_date(F.col("path")), F.lit("")), F.nullif(folder, F.lit("")), F.lit("")))
 
 
+def build_workbook(rows: list[tuple], sheets_head: list[list[str]]) -> bytes:
+    """A workbook with a "Holdings" sheet: head rows, then the rows (text or numbers; None is an empty cell)."""
+    from xml.sax.saxutils import escape
+
+    def cell(at: int, line: int, v) -> str:
+        name = f"{chr(65 + at)}{line}"
+        if v is None:
+            return ""
+        if isinstance(v, (int, float)):
+            return f'<c r="{name}"><v>{v}</v></c>'
+        return f'<c r="{name}" t="inlineStr"><is><t>{escape(str(v))}</t></is></c>'
+
+    lines = [*sheets_head, *rows]
+    body = "".join(f'<row r="{i}">{"".join(cell(j, i, v) for j, v in enumerate(line))}</row>' for i, line in enumerate(lines, 1))
+    space, office = f'xmlns="{SPACE[1:-1]}"', "http://schemas.openxmlformats.org/officeDocument/2006/relationships"
+    package = "http://schemas.openxmlformats.org/package/2006"
+    main = "application/vnd.openxmlformats-officedocument.spreadsheetml"
+    parts = {
+        "[Content_Types].xml": f'<Types xmlns="{package}/content-types"><Default Extension="rels" ContentType="application/vnd.openxmlformats-package.relationships+xml"/><Override PartName="/xl/workbook.xml" ContentType="{main}.sheet.main+xml"/><Override PartName="/xl/worksheets/sheet1.xml" ContentType="{main}.worksheet+xml"/></Types>',
+        "_rels/.rels": f'<Relationships xmlns="{package}/relationships"><Relationship Id="r1" Type="{office}/officeDocument" Target="xl/workbook.xml"/></Relationships>',
+        "xl/workbook.xml": f'<workbook {space} xmlns:r="{office}"><sheets><sheet name="Holdings" sheetId="1" r:id="r1"/></sheets></workbook>',
+        "xl/_rels/workbook.xml.rels": f'<Relationships xmlns="{package}/relationships"><Relationship Id="r1" Type="{office}/worksheet" Target="worksheets/sheet1.xml"/></Relationships>',
+        "xl/worksheets/sheet1.xml": f"<worksheet {space}><sheetData>{body}</sheetData></worksheet>",
+    }
+    raw = io.BytesIO()
+    with zipfile.ZipFile(raw, "w", zipfile.ZIP_DEFLATED) as z:
+        for name, part in parts.items():
+            z.writestr(name, '<?xml version="1.0" encoding="UTF-8"?>' + part)
+    return raw.getvalue()
+
+
 def fresh(cache: DataFrame, now, seconds: int | None) -> DataFrame:
     """Cached answers that aren't older than their time to live. cache: namespace, key, fetched_at, value."""
     return cache if seconds is None else cache.where(F.unix_timestamp(now) - F.unix_timestamp("fetched_at") <= seconds)
