@@ -23,7 +23,7 @@ from .common import cut
 
 SEGMENT = 16
 #: The most index rows that are broadcast; beyond it the join is a shuffle.
-BROADCAST_ROWS = 1_000_000
+BROADCAST_ROWS = 300_000
 
 
 def sign_code(vector: Column, segments: int) -> Column:
