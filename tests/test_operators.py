@@ -8,7 +8,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from tidemark.operators import archive, classify, dedup, holdings, incremental, merge, outbox, resolve, retry, rollup, topk
+from tidemark.operators import archive, classify, commit, dedup, holdings, incremental, merge, outbox, quality, resolve, retry, rollup, topk
 from tidemark.sources import feeds, tables
 from tidemark.streaming import jobs
 
@@ -267,3 +267,49 @@ def test_topk_and_lists(spark):
     assert [r["accession"] for r in topk.prioritised(work, 2).collect()] == ["c", "b"]
     cron = spark.createDataFrame([("30 4 * * 1",), ("bad",)], "c string").select(incremental.cron_weekday_hour(F.col("c")).alias("x")).collect()
     assert tuple(cron[0]["x"]) == (1, 4, 30) and tuple(cron[1]["x"]) == (6, 11, 0)
+
+
+def test_commit(spark):
+    filings = spark.createDataFrame([(a, "8-K", "queued", 1, None, None) for a in "abc"], "accession string, form_type string, retrieval_status string, attempts int, next_retry_at timestamp, primary_doc_path string")
+    items = spark.createDataFrame([("a", "1.01"), ("b", "2.02"), ("c", "5.02")], "accession string, item string")
+    empty = spark.createDataFrame([], "event_id string, subject string, accession string, payload_json string, payload_hash string, created_at string, commit_seq long")
+    state = {"filings": filings, "items": items, "outbox": empty}
+    bundles = spark.createDataFrame([("a", "/a.txt", "/a.htm", "t", "p"), ("b", "/b.txt", None, "t", None)], "accession string, raw_txt_path string, primary_doc_path string, txt_sha256 string, primary_sha256 string")
+    done = commit.commit_filings(state, {"items": spark.createDataFrame([("a", "9.01")], "accession string, item string")}, bundles, now())
+    assert sorted(map(tuple, done["items"].collect())) == [("a", "9.01"), ("c", "5.02")]
+    assert {r["accession"]: (r["retrieval_status"], r["primary_doc_path"]) for r in done["filings"].collect()} == {"a": ("retrieved", "/a.htm"), "b": ("retrieved_partial", None), "c": ("queued", None)}
+    assert sorted(r["subject"] for r in done["outbox"].collect()) == ["edgar.filing.retrieved", "edgar.filing.retrieved_partial"]
+    again = commit.commit_filings({**done, "items": done["items"]}, {"items": spark.createDataFrame([("a", "9.01")], "accession string, item string")}, bundles, now())
+    assert again["outbox"].count() == 2
+    failed = commit.commit_failures(done, spark.createDataFrame([("c", "lost")], "accession string, error string"), now())
+    assert failed["outbox"].where("subject = 'edgar.filing.failed'").first()["payload_json"].startswith('{"accession":"c","attempt":2')
+    queued = retry.queue(failed["filings"], failed["filings"], now())
+    assert {r["accession"]: r["retrieval_status"] for r in queued.collect()} == {"a": "queued", "b": "retrieved_partial", "c": "retrieval_failed"}
+    assert retry.queue(failed["filings"], failed["filings"], now(), force=True).where("retrieval_status = 'queued'").count() == 3
+    gate = filings.withColumn("relevance_state", F.lit("hdr_pending"))
+    assert retry.header_failed(gate, filings.where("accession = 'a'"), now()).where("relevance_state = 'hdr_transient_fail' AND attempts = 2 AND next_retry_at > timestamp'2026-01-02'").count() == 1
+
+
+def test_violations(spark):
+    rows = spark.createDataFrame([("1", "0000000001"), ("1", "12"), (" ", None)], "id string, cik string")
+    got = {r["rule"]: r["n"] for r in quality.violations(rows, ["id", "cik"], ["id"], 3, "cik").collect()}
+    assert got == {"id is missing": 1, "cik is missing": 1, "cik isn't ten digits": 1, "id repeats": 1}
+    assert quality.violations(rows.limit(1), ["id"], ["id"], 1).count() == 0
+
+
+def test_copies(spark, tmp_path):
+    (tmp_path / "x").write_bytes(b"abc" * 200_000)
+    good = hashlib.sha256(b"abc" * 200_000).hexdigest()
+    plan = spark.createDataFrame([(str(tmp_path / "x"), str(tmp_path / "arc/a/x"), good), (str(tmp_path / "x"), str(tmp_path / "arc/y"), "0"), (str(tmp_path / "gone"), str(tmp_path / "arc/z"), None)], "path string, archived_path string, sha256 string")
+    assert [r["state"] for r in archive.copy_files(plan.coalesce(1)).collect()] == ["copied", "damaged", "missing"]
+    assert (tmp_path / "arc/a/x").read_bytes() == b"abc" * 200_000 and not (tmp_path / "arc/y").exists()
+    first = plan.limit(1)
+    assert archive.copy_files(first, remove=True).first()["state"] == "present" and not (tmp_path / "x").exists()
+    assert archive.copy_files(first, remove=True).first()["state"] == "present"
+
+
+def test_name_scores_use_variants(spark):
+    companies = spark.createDataFrame([(1, "MUENCHENER RUECKVER AG-REG")], "company_id int, name string")
+    names = spark.createDataFrame([(1, "x", "MUNCHENER RUCKVERSICHERUNGS"), (1, "y", "OTHER")], "company_id int, cik string, name string")
+    got = {r["cik"]: r["score"] for r in resolve.best_name_scores(companies, names).collect()}
+    assert got["x"] > 0.9 > got["y"]

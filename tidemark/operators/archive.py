@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -56,3 +60,60 @@ def orphans(pending: DataFrame, originals: DataFrame, copies: DataFrame) -> Data
     """Originals that can go: their deletion is pending, or their archive path is there; the copy is good."""
     both = pending.select("original_path", "archived_path", "sha256").unionByName(originals.select("original_path", "archived_path", "sha256")).dropDuplicates(["original_path"])
     return verify_copies(both.withColumnRenamed("original_path", "path"), copies).where("state = 'good'").select(F.col("path").alias("original_path"), "archived_path")
+
+
+def file_system(path: str):
+    """The file system of a uri or local path, and the path in it."""
+    from pyarrow import fs
+
+    return fs.FileSystem.from_uri(path) if "://" in path or path.startswith("file:") else (fs.LocalFileSystem(), path)
+
+
+def digest_of(store, path: str, out=None) -> str:
+    """sha256 of a file, read in blocks; with `out`, the blocks are written there too."""
+    found = hashlib.sha256()
+    with store.open_input_stream(path) as stream:
+        while block := stream.read(1 << 18):
+            found.update(block)
+            if out is not None:
+                out.write(block)
+    return found.hexdigest()
+
+
+def copy_files(plan: DataFrame, remove: bool = False) -> DataFrame:
+    """Copies files on the executors: path, archived_path, sha256 (null: any) in; the same with state out.
+
+    A copy is written beside its place, read back, and moved there if its digest is the original's and
+    the expected one; then the original goes, if `remove` asks for it. Repeated tasks find the copy done.
+    states: copied, present, damaged, missing.
+    """
+
+    def one(path: str, target: str, expected: str | None) -> str:
+        (source, a), (store, b) = file_system(path), file_system(target)
+        there = store.get_file_info([b])[0].is_file
+        if not source.get_file_info([a])[0].is_file:
+            return "present" if there and (expected is None or digest_of(store, b) == expected) else "missing"
+        original = digest_of(source, a)
+        if expected is not None and original != expected:
+            return "damaged"
+        state = "present"
+        if not there or digest_of(store, b) != original:
+            store.create_dir(b.rpartition("/")[0], recursive=True)
+            draft = f"{b}.part-{hashlib.sha256(path.encode()).hexdigest()[:8]}"
+            with store.open_output_stream(draft) as out:
+                digest_of(source, a, out)
+            if digest_of(store, draft) != original:
+                store.delete_file(draft)
+                return "damaged"
+            store.move(draft, b)
+            state = "copied"
+        if remove:
+            source.delete_file(a)
+        return state
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            expected = [x if isinstance(x, str) else None for x in batch["sha256"]]
+            yield batch.assign(state=[one(p, t, e) for p, t, e in zip(batch["path"], batch["archived_path"], expected, strict=True)])
+
+    return plan.select("path", "archived_path", "sha256").mapInPandas(run, "path string, archived_path string, sha256 string, state string")

@@ -135,5 +135,15 @@ def keep_existing(companies: DataFrame, profiles: DataFrame) -> DataFrame:
     return best.where(F.col("similarity") >= F.greatest(F.lit(0.86), numbers.name_threshold(F.col("norm")) - 0.04)).drop("norm")
 
 
+def best_name_scores(companies: DataFrame, names: DataFrame) -> DataFrame:
+    """company_id, cik, score: the greatest similarity of a company's name or any of its recall variants to an entity's names.
+
+    companies: company_id, name; names: company_id, cik, name (normalised), the pairs to be scored.
+    """
+    own = companies.select("company_id", F.explode(F.concat(F.array(text.company_name(F.col("name"))), text.recall_variants(F.col("name")))).alias("left"))
+    both = own.join(names.withColumnRenamed("name", "right"), "company_id")
+    return both.withColumn("score", similarity(F.col("left"), F.col("right"))).groupBy("company_id", "cik").agg(F.max("score").alias("score"))
+
+
 def normalised(df: DataFrame, name: str = "name") -> DataFrame:
     return df.withColumn("norm", text.company_name(F.col(name)))

@@ -61,6 +61,30 @@ def after_attempt(filings: DataFrame, results: DataFrame, now: Column, base: flo
     )
 
 
+def cooling_down(next_retry_at: Column, now: Column) -> Column:
+    return F.coalesce(next_retry_at > now, F.lit(False))
+
+
+def queue(filings: DataFrame, wanted: DataFrame, now: Column, force: bool = False) -> DataFrame:
+    """Wanted filings (accession) become queued, unless they are cooling down (or by force)."""
+    both = filings.join(wanted.select("accession").distinct().withColumn("__wanted", F.lit(True)), "accession", "left")
+    ready = F.lit(True) if force else ~cooling_down(F.col("next_retry_at"), now)
+    return both.withColumn("retrieval_status", F.when(F.col("__wanted") & ready, "queued").otherwise(F.col("retrieval_status"))).select(*filings.columns)
+
+
+def header_failed(filings: DataFrame, failed: DataFrame, now: Column, base: float = fixed.BACKOFF_BASE) -> DataFrame:
+    """Headers that couldn't be fetched for the moment: state, one more attempt, and a backoff."""
+    both = filings.join(failed.select("accession").distinct().withColumn("__failed", F.lit(True)), "accession", "left")
+    hit = F.coalesce("__failed", F.lit(False))
+    later = F.timestamp_seconds(F.unix_timestamp(now) + backoff(F.col("attempts"), base))
+    return (
+        both.withColumn("next_retry_at", F.when(hit, later).otherwise(F.col("next_retry_at")))
+        .withColumn("attempts", F.col("attempts") + hit.cast("int"))
+        .withColumn("relevance_state", F.when(hit, "hdr_transient_fail").otherwise(F.col("relevance_state")))
+        .select(*filings.columns)
+    )
+
+
 def lease_batch(outbox: DataFrame, now: Column, most: int = 200, lease_seconds: int = 60) -> DataFrame:
     """The next events to publish, in commit order; expired leases count as pending."""
     expired = (F.col("status") == "leased") & (F.col("leased_at") < F.timestamp_seconds(F.unix_timestamp(now) - lease_seconds))
