@@ -16,13 +16,16 @@ def classify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document with the least id of each group of near copies; rows of one id are one document."""
+    """Keeps the document with the least id of each group of near copies, equal rows once.
+
+    Documents without an id stay, as nothing tells them apart.
+    """
     found = cut(ngram_join.jaccard_components(docs))
     # by id, so that the texts aren't shuffled by groups
     gone = found.where("n_shingles > 0 AND doc_id <> component_id").select("doc_id").distinct()
     first = found.where("doc_id = component_id").groupBy("doc_id").count().where("count > 1").select("doc_id")
     rest = docs.join(gone, "doc_id", "left_anti")
-    many = rest.join(F.broadcast(first) if first.limit(100_001).count() <= 100_000 else first, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    many = rest.join(F.broadcast(first) if first.limit(100_001).count() <= 100_000 else first, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
     if first.isEmpty():
         return rest
     return rest.join(first, "doc_id", "left_anti").unionByName(many)
