@@ -101,18 +101,20 @@ class Space:
 
 
 def fit_space(rows: np.ndarray, labels: np.ndarray, rank: int = RANK, seed: int = 7) -> Space:
-    """Truncated SVD of the weighted rows, by subspace iteration from a fixed seed."""
+    """Truncated SVD of the weighted rows, by subspace iteration from a fixed seed. The rows are overwritten."""
     if not len(rows):
         return Space(np.zeros((WIDTH, 1), np.float32), np.zeros((0, 1), np.float32), np.zeros(0, np.float32))
-    idf = np.log((1 + len(rows)) / (1 + (rows > 0).sum(0))).astype(np.float32) + 1
+    idf = np.log((1 + len(rows)) / (1 + np.count_nonzero(rows, axis=0))).astype(np.float32) + 1
     idf[TRIGRAMS:] = 1
-    x = unit(rows * idf)
+    x = rows
+    x *= idf
+    x /= np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-12)
     basis = np.linalg.qr(x.T @ np.random.default_rng(seed).standard_normal((len(x), min(rank + 16, len(x)))).astype(np.float32))[0]
     for _ in range(4):
         basis = np.linalg.qr(x.T @ (x @ basis))[0]
     _, _, right = np.linalg.svd(x @ basis, full_matrices=False)
-    into = (idf[:, None] * (basis @ right.T)[:, :rank]).astype(np.float32)
-    return Space(into, unit(rows @ into), labels.astype(np.float32))
+    turn = (basis @ right.T)[:, :rank]
+    return Space((idf[:, None] * turn).astype(np.float32), unit(x @ turn).astype(np.float32), labels.astype(np.float32))
 
 
 def squeeze(row: np.ndarray) -> bytes:
@@ -134,22 +136,26 @@ def held_out(id_col: Column) -> Column:
 
 
 def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", sample: int = SAMPLE) -> Space:
-    """The space from at most `sample` labelled rows that aren't held out."""
+    """The space from at most `sample` labelled documents that aren't held out, of the 2 x `sample` labels of least hash."""
     known = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("double").alias("label")).where("id IS NOT NULL AND label IS NOT NULL AND label IN (0, 1)")
     known = known.where(~held_out(F.col("id"))).groupBy("id").agg(F.min("label").alias("label"), F.max("label").alias("other")).where("label = other").drop("other")
-    # a semi join first: labels of documents that aren't there take no place in the sample
-    known = known.join(docs.select(F.col(id_col).alias("id")), "id", "left_semi").orderBy(F.xxhash64("id"), "id").limit(sample)
+    # twice as many, as some of their documents may not be there; so few go to all workers and no table is shuffled
+    known = known.orderBy(F.xxhash64("id"), "id").limit(2 * sample)
 
     @F.pandas_udf("binary")
     def features(texts: pd.Series) -> pd.Series:
         return pd.Series([squeeze(r) for a in range(0, len(texts), BLOCK) for r in describe(texts.iloc[a : a + BLOCK].tolist())], index=texts.index)
 
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(known), "id")
-    rows = texts.select("id", "label", features("text").alias("row")).groupBy("id").agg(F.min("row").alias("row"), F.min("label").alias("label")).collect()
-    rows = sorted((r for r in rows if r["row"]), key=lambda r: r["id"])
-    full = [(unsqueeze(r["row"]), r["label"]) for r in rows]
-    full = [(x, y) for x, y in full if x.any()]
-    return fit_space(np.array([x for x, _ in full], np.float32).reshape(-1, WIDTH), np.array([y for _, y in full], np.float32))
+    rows = texts.select("id", "label", features("text").alias("row")).groupBy("id").agg(F.min("row").alias("row"), F.min("label").alias("label"))
+    rows = rows.orderBy(F.xxhash64("id"), "id").limit(sample).collect()
+    rows.sort(key=lambda r: r["id"])
+    matrix = np.empty((len(rows), WIDTH), np.float32)
+    for i, r in enumerate(rows):
+        matrix[i] = unsqueeze(r["row"])
+    there = matrix.any(axis=1)
+    matrix = matrix if there.all() else matrix[there]
+    return fit_space(matrix, np.array([r["label"] for r in rows], np.float32)[there])
 
 
 def scorer(docs: DataFrame, space: Space) -> Callable[[Column | str], Column]:
