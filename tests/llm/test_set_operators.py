@@ -289,6 +289,11 @@ def test_page_extraction(shell):
     assert html_consensus.extract_page(shell % ARTICLE, None) == TEXT
 
 
+def test_marked_words_within_a_line_stay():
+    page = '<article><p>One <span class="search-hit">two</span> <em class="notice">three</em><span class="ad-slot">buy</span>.</p><div class="notice">no</div></article>'
+    assert html_consensus.extract_page(page, None) == "One two three."
+
+
 def test_consensus_of_a_host(spark):
     """One page whose comments outweigh its article goes by the host's path."""
     shell = '<html><body><div class="story s%d">%s</div><div class="box">%s</div></body></html>'

@@ -45,6 +45,8 @@ MARKS = frozenset(
     "share sharing social related recommended recommendations widget widgets toolbar pagination pager skip contentinfo complementary search alert "
     "dialog feedback reactions".split()
 )
+#: Those that count on elements within a line of text.
+INLINE_MARKS = frozenset("ad ads adv advert adverts advertisement advertisements advertising adsense sponsor sponsored share sharing social".split())
 #: A class name that starts so speaks of a layout, not of the element.
 LAYOUT = frozenset("has with no without main content page site is not".split())
 WORD = re.compile(r"[a-z]+")
@@ -60,9 +62,10 @@ def marked(tag: str, own: dict[str, str], inside: bool) -> bool:
         return True
     if tag in ("html", "body", "main"):
         return False
+    marks = MARKS if tag in BLOCK else INLINE_MARKS
     for name in f"{own.get('class', '')} {own.get('id', '')} {own.get('role', '')}".split():
         words = WORD.findall(re.sub(r"([a-z])([A-Z])", r"\1 \2", name).lower())
-        if words and words[0] not in LAYOUT and (MARKS.intersection(words) or not inside and tag not in CONTENT and words[-1] == "header"):
+        if words and words[0] not in LAYOUT and (marks.intersection(words) or not inside and tag not in CONTENT and words[-1] == "header"):
             return True
     return False
 
