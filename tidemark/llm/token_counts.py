@@ -24,7 +24,7 @@ from .common import cut, kept
 from .tokens import END, VOCABULARY, library
 
 #: The most pre-tokens that are broadcast.
-HEAD = 150_000
+HEAD = 300_000
 #: Distinct pre-tokens that a worker holds before it passes them on.
 HELD = 400_000
 
@@ -38,15 +38,12 @@ def splitter():
 
 def frequencies(text: str | None, pattern) -> Counter:
     """Pre-tokens of a text; each special string is one of its own."""
-    if not text:
-        return Counter()
-    if END not in text:
-        return Counter(pattern.findall(text))
+    parts = (text or "").split(END)
     out: Counter = Counter()
-    parts = text.split(END)
     for part in parts:
         out.update(pattern.findall(part))
-    out[END] += len(parts) - 1
+    if len(parts) > 1:
+        out[END] = len(parts) - 1
     return out
 
 
@@ -57,7 +54,11 @@ def pre_token_counts(docs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame
         pattern, held = kept("pre-tokens", splitter), Counter()
         for batch in batches:
             for text in batch["text"]:
-                held.update(frequencies(text, pattern))
+                parts = (text or "").split(END)
+                for part in parts:
+                    held.update(pattern.findall(part))  # lists are counted natively, other counters aren't
+                if len(parts) > 1:
+                    held[END] += len(parts) - 1
                 if len(held) > HELD:
                     yield pd.DataFrame({"piece": list(held), "n": list(held.values())})
                     held.clear()
