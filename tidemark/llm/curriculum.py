@@ -133,7 +133,8 @@ def mix_sources(
     )
     # NaN would sort last and stay NaN: untaken rows get null
     timed = timed.withColumn("position", F.when(F.col("taken") > 0, F.round("position", 6)))
-    return timed.withColumnRenamed("id", id_col).orderBy(F.col("position").asc_nulls_last())
+    # the hash parts the rows that have no position
+    return timed.withColumnRenamed("id", id_col).orderBy(F.col("position").asc_nulls_last(), F.xxhash64(id_col))
 
 
 def timing(schedules: Sequence[Sequence[tuple[float, float]]]) -> Callable:
