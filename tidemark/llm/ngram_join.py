@@ -53,7 +53,7 @@ LOCAL = 4
 HELD = 6_000_000
 #: The most frequent shingles, and the most nodes, that are sent to all workers.
 MOST_FREQUENT = 500_000
-MOST_NODES = 4_000_000
+MOST_NODES = 500_000
 RANGES = 64
 
 
@@ -277,31 +277,28 @@ def list_pairs(posted: DataFrame, threshold: int, short: int = SHORT) -> DataFra
 def sets_of(docs: DataFrame, nodes: DataFrame, words: int) -> DataFrame:
     """node, shingles (bytes) of the nodes asked for (node, id: its least document).
 
-    Copies that share the least id give equal rows, which is harmless where pairs are verified.
+    Only the documents that stand for a node are read again. Copies under the least id give equal rows,
+    which is harmless where pairs are verified.
     """
-    spark = docs.sparkSession
-    few = nodes.limit(MOST_NODES + 1).count() <= MOST_NODES
-    table = nodes.select("node", F.coalesce("id", F.lit(-1)).alias("id"), F.col("id").isNull().alias("any")).orderBy("node").toPandas() if few else None
-    wanted = spark.sparkContext.broadcast(tuple(table[c].to_numpy() for c in ("node", "id", "any")) if few else None)
 
     def collect(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        ask, seen = wanted.value, set()
         for batch in batches:
             rows = []
-            for key, text in zip(batch["id"].astype("Int64"), batch["text"], strict=True):
+            for node, text in zip(batch["node"], batch["text"], strict=True):
                 s = shingles(text, words)
-                if not len(s) or (node := fingerprint(s)) in seen:
-                    continue
-                if ask is not None:
-                    at = int(np.searchsorted(ask[0], node))
-                    if at == len(ask[0]) or ask[0][at] != node or not (ask[2][at] or key is not pd.NA and ask[1][at] == key):
-                        continue
-                seen.add(node)
-                rows.append((node, s.tobytes()))
+                if len(s) and (pd.isna(node) or fingerprint(s) == node):
+                    rows.append((fingerprint(s), s.tobytes()))
             yield pd.DataFrame(rows, columns=["node", "shingles"])
 
-    found = docs.select("id", "text").mapInPandas(collect, "node long, shingles binary")
-    return found if few else found.join(nodes.select("node"), "node", "left_semi").dropDuplicates(["node"])
+    kind = "node long, shingles binary"
+    named, bare = nodes.where("id IS NOT NULL"), nodes.where("id IS NULL")
+    few = named.limit(MOST_NODES + 1).count() <= MOST_NODES
+    found = docs.join(F.broadcast(named) if few else named, "id").select("node", "text").mapInPandas(collect, kind)
+    if bare.isEmpty():
+        return found
+    # nodes that no id stands for: all texts without an id, then those asked for
+    rest = docs.where("id IS NULL").select(F.lit(None).cast("long").alias("node"), "text").mapInPandas(collect, kind)
+    return found.unionByName(rest.join(bare.select("node"), "node", "left_semi").dropDuplicates(["node"]))
 
 
 def possible(pairs: DataFrame, nodes: DataFrame, threshold: int) -> DataFrame:
