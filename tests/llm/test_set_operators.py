@@ -72,6 +72,16 @@ def test_ngram_join_with_long_lists(spark):
         assert joined(docs, short=short) == want
 
 
+def test_ngram_join_without_ids_and_with_shared_ids(spark):
+    base = [f"b{i}" for i in range(60)]
+    near = [" ".join([*base[:i], f"x{i}", *base[i + 1 :]]) for i in (0, 59)]
+    rows = [(None, near[0]), (None, near[1]), (None, near[1]), (None, "other words stand here"), (5, " ".join(base)), (5, "five has another text too"), (6, "five has another text too"), (None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    want = brute_components(rows)
+    assert joined(docs) == want
+    assert joined(docs.where("doc_id IS NULL")) == brute_components([r for r in rows if r[0] is None])
+
+
 def test_groups_of_equal_prefixes(spark):
     """Texts whose rare words agree and whose tails differ slightly, so that prefixes can agree."""
     tails = [" ".join(["t"] * n) for n in range(40)]
@@ -116,6 +126,8 @@ def test_hamming_search(spark, sf):
         got = Counter(tuple(r) for r in hamming_search.top_k(df, F.col("vec_id") % 50 == 0, k).collect())
         want = brute_nearest(clean, k)
         assert set(got) == set(want)
+        blocks = hamming_search.top_k(df, F.col("vec_id") % 50 == 0, k, codes_in_block=40, queries_in_block=2)
+        assert Counter(tuple(r) for r in blocks.collect()) == got
     few = df.limit(3).where("vec_id < 300")
     assert hamming_search.top_k(few, F.lit(True), 10).count() == 9
     assert hamming_search.top_k(df.limit(0), F.lit(True), 10).count() == 0

@@ -1,11 +1,13 @@
 """Exact top-k search for binary codes, by incremental multi-index hashing.
 
-Vectors become codes by the signs of their dimensions, cut into segments of 16 bits. An index holds each
-distinct code under each of its segments. Round r probes, for every query that is still open, the segment
-values at Hamming distance r from its own; codes found are verified by their whole distance. After round
-r with m segments every code within m (r + 1) - 1 is found (else each segment would differ in more than
-r bits), so a query closes when its kth verified distance is no greater. Equal codes are searched once
-and hold their k least ids, which suffices for the k first by distance and id.
+Vectors become codes by the signs of their dimensions, cut into segments of 16 bits. Distinct codes and
+distinct query codes are dealt out in blocks of bounded size, and each block of queries meets each block
+of codes in one task. There an index holds the codes under each of their segments. Round r probes the
+segment values at Hamming distance r from a query's own and verifies the codes found by their whole
+distance. After round r with m segments every code within m (r + 1) - 1 is found (else each segment
+would differ in more than r bits), so a query closes when its kth verified distance is no greater. The
+blocks' best are merged. Equal codes are searched once and hold their k least ids, which suffices for
+the k first by distance and id.
 
 Defined results: null vectors have no code: they are neither found nor searched; null, NaN and missing
 dimensions are 0 bits; ties in distance go by id; repeated ids count as often as they stand there; fewer
@@ -14,84 +16,110 @@ than k vectors give all of them; an empty table gives an empty result. A query f
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from itertools import combinations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import cut, kept
 
 SEGMENT = 16
-#: The most index rows that are broadcast; beyond it the join is a shuffle.
-BROADCAST_ROWS = 300_000
-
-
-def sign_code(vector: Column, segments: int) -> Column:
-    """The code of a vector: `segments` integers of 16 bits."""
-
-    def bit(at: Column) -> Column:
-        x = F.get(vector, at)
-        return F.when((x > 0) & ~F.isnan(x), 1).otherwise(0)
-
-    value = lambda j: F.aggregate(F.sequence(F.lit(0), F.lit(SEGMENT - 1)), F.lit(0), lambda acc, i: acc * 2 + bit(j * SEGMENT + i))
-    return F.transform(F.sequence(F.lit(0), F.lit(segments - 1)), value)
-
-
-def distance(a: str, b: str, segments: int) -> Column:
-    return sum((F.bit_count(F.get(a, F.lit(j)).bitwiseXOR(F.get(b, F.lit(j)))) for j in range(1, segments)), F.bit_count(F.get(a, F.lit(0)).bitwiseXOR(F.get(b, F.lit(0)))))
-
-
-def masks(radius: int) -> Column:
-    """All segment masks of `radius` bits, as one constant array."""
-    found = (sum(1 << i for i in bits) for bits in combinations(range(SEGMENT), radius))
-    return F.split(F.lit(",".join(map(str, found))), ",").cast("array<int>")
-
-
-def top_k(vectors: DataFrame, queries: Column, k: int = 10, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
+#: Distinct codes, and distinct query codes, in a block.
+CODES = 200_000
+QUERIES = 256
+BITS = np.array([bin(i).count("1") for i in range(1 << 8)], np.uint8)
+
+
+def masks() -> list[np.ndarray]:
+    """Segment masks by their number of bits."""
+    return [np.array([sum(1 << i for i in bits) for bits in combinations(range(SEGMENT), r)], np.int64) for r in range(SEGMENT + 1)]
+
+
+def sign_codes(vectors: DataFrame, segments: int) -> DataFrame:
+    """id, asked, code (bytes) of vectors that aren't null. vectors: id, asked, vector."""
+
+    def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            bits = np.zeros((len(batch), SEGMENT * segments), bool)
+            for i, v in enumerate(batch["vector"]):
+                x = np.asarray(v, float)  # null is NaN, which isn't above 0
+                bits[i, : len(x)] = x > 0
+            yield pd.DataFrame({"id": batch["id"], "asked": batch["asked"], "code": [r.tobytes() for r in np.packbits(bits, axis=1)]})
+
+    return vectors.mapInPandas(encode, f"id {dict(vectors.dtypes)['id']}, asked boolean, code binary")
+
+
+class Index:
+    """A block of codes under each of their segments. sizes: how many rows a code stands for; first: its least id."""
+
+    def __init__(self, codes: list[bytes], sizes: np.ndarray, first: np.ndarray) -> None:
+        self.bytes = np.frombuffer(b"".join(codes), np.uint8).reshape(len(codes), -1)
+        self.segments = self.bytes.view(">u2").astype(np.int64)
+        self.sizes, self.first = sizes, first
+        self.lists = []
+        for values in self.segments.T:
+            start = np.concatenate([[0], np.cumsum(np.bincount(values, minlength=1 << SEGMENT))])
+            self.lists.append((np.argsort(values, kind="stable"), start))
+
+    def near(self, query: bytes, k: int, by_bits: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        """Codes that stand for the k nearest rows, by distance and least id, with their distances."""
+        own = np.frombuffer(query, np.uint8)
+        segments = own.view(">u2").astype(np.int64)
+        seen = np.zeros(len(self.bytes), bool)
+        found, far = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        for radius, mask in enumerate(by_bits):
+            for (order, start), value in zip(self.lists, segments, strict=True):
+                probe = value ^ mask
+                a, n = start[probe], start[probe + 1] - start[probe]
+                there = n > 0
+                a, n = a[there], n[there]
+                hits = order[np.repeat(a - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())] if len(n) else n
+                hits = hits[~seen[hits]]
+                seen[hits] = True
+                found = np.concatenate([found, hits])
+                far = np.concatenate([far, BITS[self.bytes[hits] ^ own].sum(1, dtype=np.int64)])
+            covered = len(segments) * (radius + 1) - 1
+            sure = far <= covered
+            if self.sizes[found[sure]].sum() >= k or len(found) == len(self.bytes):
+                break
+        order = np.lexsort((self.first[found], far))
+        order = order[: int(np.searchsorted(np.cumsum(self.sizes[found[order]]), k) + 1)]
+        return found[order], far[order]
+
+
+def top_k(vectors: DataFrame, queries: Column, k: int = 10, id_col: str = "vec_id", vector_col: str = "embedding", codes_in_block: int = CODES, queries_in_block: int = QUERIES) -> DataFrame:
     """query_id, rank (from 1), the id and the distance of the k nearest codes of each query."""
-    rows = vectors.select(F.col(id_col).alias("id"), F.col(vector_col).cast("array<double>").alias("vector"), queries.alias("asked")).where("vector IS NOT NULL AND id IS NOT NULL")
+    rows = vectors.select(F.col(id_col).alias("id"), F.col(vector_col).cast("array<double>").alias("vector"), F.coalesce(queries, F.lit(False)).alias("asked")).where("vector IS NOT NULL AND id IS NOT NULL")
     widest = rows.agg(F.max(F.size("vector"))).first()[0] or 1
-    segments = -(-widest // SEGMENT)
-    codes = cut(rows.select("id", "asked", sign_code(F.col("vector"), segments).alias("code")))
+    rows = cut(sign_codes(rows, -(-widest // SEGMENT)))
     nth = F.row_number().over(Window.partitionBy("code").orderBy("id"))
-    distinct = codes.select("code", "id").withColumn("nth", nth).where(F.col("nth") <= k).groupBy("code").agg(F.sort_array(F.collect_list("id")).alias("ids"))
-    distinct = cut(distinct)
-    total = codes.count()
-    index = cut(distinct.select("code", "ids", F.posexplode("code").alias("segment", "value")))
-    if index.count() <= BROADCAST_ROWS:
-        index = F.broadcast(index)
-    asked = cut(codes.where("asked").select(F.col("code").alias("query")).distinct())
-    still, best = asked.withColumn("reach", F.lit(SEGMENT * segments)), None
-    closed: list[DataFrame] = []
-    for radius in range(SEGMENT + 1):
-        probes = still.select("query", "reach", F.posexplode("query").alias("segment", "own"))
-        probes = probes.select("query", "reach", "segment", F.explode(masks(radius)).alias("mask"), "own")
-        probes = probes.select("query", "reach", "segment", F.col("own").bitwiseXOR(F.col("mask")).alias("value"))
-        found = probes.join(index, ["segment", "value"]).select("query", "code", "ids", distance("query", "code", segments).alias("distance"), "reach")
-        found = found.where("distance <= reach").drop("reach").dropDuplicates(["query", "code"])
-        if best is not None:
-            found = found.unionByName(best.drop("rows")).dropDuplicates(["query", "code"])
-        order = Window.partitionBy("query").orderBy("distance", F.col("ids")[0])
-        best = found.withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= k).drop("nth")
-        best = cut(best.withColumn("rows", F.sum(F.size("ids")).over(order.rowsBetween(Window.unboundedPreceding, 0))))
-        covered = segments * (radius + 1) - 1
-        state = best.groupBy("query").agg(
-            F.coalesce(F.max(F.when(F.col("distance") <= covered, F.col("rows"))), F.lit(0)).alias("sure"),
-            F.coalesce(F.min(F.when(F.col("rows") >= k, F.col("distance"))), F.lit(SEGMENT * segments)).alias("reach"),
-        )
-        state = still.select("query").join(state, "query", "left").na.fill(0, ["sure"]).na.fill(SEGMENT * segments, ["reach"])
-        state = cut(state.withColumn("open", F.col("sure") < min(k, total)))
-        closed.append(best.join(state.where("NOT open").select("query"), "query"))
-        still = state.where("open").select("query", "reach")
-        best = best.join(still.select("query"), "query")
-        if radius == SEGMENT or still.isEmpty():
-            closed.append(best)
-            break
-    result = closed[0]
-    for part in closed[1:]:
-        result = result.unionByName(part)
-    each = codes.where("asked").select(F.col("id").alias("query_id"), F.col("code").alias("query"))
-    near = result.select("query", "distance", F.explode("ids").alias("id"))
-    first = Window.partitionBy("query").orderBy("distance", "id")
-    near = near.withColumn("rank", F.row_number().over(first)).where(F.col("rank") <= k)
+    few = rows.select("code", "id").withColumn("nth", nth).where(F.col("nth") <= k)
+    distinct = cut(few.groupBy("code").agg(F.sort_array(F.collect_list("id")).alias("ids")))
+    asked = cut(rows.where("asked").select(F.col("code").alias("query")).distinct())
+    code_blocks, query_blocks = -(-distinct.count() // codes_in_block) or 1, -(-asked.count() // queries_in_block) or 1
+    deal = lambda c, n: F.pmod(F.xxhash64(c), F.lit(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    left = distinct.select(deal("code", code_blocks).alias("c"), every(query_blocks).alias("q"), "code", F.size("ids").alias("size"), F.get("ids", F.lit(0)).alias("first"))
+    right = asked.select(every(code_blocks).alias("c"), deal("query", query_blocks).alias("q"), "query")
+
+    def search(codes: pd.DataFrame, asks: pd.DataFrame) -> pd.DataFrame:
+        out = []
+        if len(codes) and len(asks):
+            index = Index(codes["code"].tolist(), codes["size"].to_numpy(), codes["first"].to_numpy())
+            by_bits = kept("segment masks", masks)
+            for query in asks["query"]:
+                found, far = index.near(query, k, by_bits)
+                out += [(query, codes["code"].iat[i], int(d), int(codes["first"].iat[i])) for i, d in zip(found, far, strict=True)]
+        return pd.DataFrame(out, columns=["query", "code", "distance", "first"])
+
+    found = left.groupBy("c", "q").cogroup(right.groupBy("c", "q")).applyInPandas(search, "query binary, code binary, distance int, first long")
+    best = F.row_number().over(Window.partitionBy("query").orderBy("distance", "first"))
+    found = found.withColumn("nth", best).where(F.col("nth") <= k) if code_blocks > 1 else found
+    near = found.join(distinct, "code").select("query", "distance", F.explode("ids").alias("id"))
+    rank = F.row_number().over(Window.partitionBy("query").orderBy("distance", "id"))
+    near = cut(near.withColumn("rank", rank).where(F.col("rank") <= k))
+    each = rows.where("asked").select(F.col("id").alias("query_id"), F.col("code").alias("query"))
     return each.join(near, "query").select("query_id", "rank", F.col("id").alias(id_col), F.col("distance").cast("int").alias("distance"))
