@@ -133,6 +133,18 @@ def test_hamming_search(spark, sf):
     assert hamming_search.top_k(df.limit(0), F.lit(True), 10).count() == 0
 
 
+def test_tied_groups_of_copies(spark):
+    at = lambda *bits: [1.0 if b in bits else -1.0 for b in range(40)]
+    tied = [(0, 1, 2), (3, 4, 5), (0, 20, 39), (7, 8, 9)]  # all at distance 3 from the query
+    ids = [(1, 101, 102), (2, 5), (3, 60), (4,)]
+    vectors = [(50, at())] + [(i, at(*bits)) for bits, group in zip(tied, ids, strict=True) for i in group]
+    df = spark.createDataFrame(vectors, "vec_id long, embedding array<double>")
+    for k in (2, 3, 4, 6, 20):
+        for codes in (hamming_search.CODES, 2):
+            got = Counter(tuple(r) for r in hamming_search.top_k(df, F.col("vec_id") == 50, k, codes_in_block=codes).collect())
+            assert got == {x: n for x, n in brute_nearest(vectors, k).items() if x[0] == 50}
+
+
 def test_mixing(spark, odd_documents, no_documents, sf_more):
     for docs in (odd_documents, table(spark, sf_more, "documents")):
         rows = curriculum.mix_sources(docs).collect()

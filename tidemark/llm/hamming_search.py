@@ -65,7 +65,7 @@ class Index:
             self.lists.append((np.argsort(values, kind="stable"), start))
 
     def near(self, query: bytes, k: int, by_bits: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-        """Codes that stand for the k nearest rows, by distance and least id, with their distances."""
+        """The first k codes by distance and least id, which hold the k nearest rows, with their distances."""
         own = np.frombuffer(query, np.uint8)
         segments = own.view(">u2").astype(np.int64)
         seen = np.zeros(len(self.bytes), bool)
@@ -85,8 +85,8 @@ class Index:
             sure = far <= covered
             if self.sizes[found[sure]].sum() >= k or len(found) == len(self.bytes):
                 break
-        order = np.lexsort((self.first[found], far))
-        order = order[: int(np.searchsorted(np.cumsum(self.sizes[found[order]]), k) + 1)]
+        # no row among the first k can belong to a later code: k least ids of other codes come before it
+        order = np.lexsort((self.first[found], far))[:k]
         return found[order], far[order]
 
 
