@@ -277,6 +277,20 @@ def test_url_rules_and_links(spark, sf):
         assert r["verdict"] in ("allow", "block")
 
 
+def test_verdicts_of_hosts_do_not_depend_on_other_hosts(spark):
+    link = '<a href="http://%s/">x</a>'
+    rows = [("http://bad.example.net/es/1", ""), ("http://farm.example.org/", link % "bad.example.net")]
+    rows += [(f"http://b{i}.example.net/fr/1", "") for i in range(1500)]  # other blocked hosts
+    rows += [(f"http://c{i}.example.org/", link % ("bad.example.net" if i == 0 else f"c{i - 1}.example.org")) for i in range(24)]  # a long chain
+    rows += [("http://hub.example.net/es/", "")] + [(f"http://l{i}.example.org/", link % "hub.example.net") for i in range(1500)]
+    rows += [("http://good.example.com/", link % "both.example.org"), ("http://both.example.org/", link % "bad.example.net")]
+    rows += [("http://alone.example.org/", link % "farm2.example.org"), ("http://farm2.example.org/", "")]
+    pages = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "page_id long, url string, html string")
+    got = {r["host"]: r["verdict"] for r in host_trust.judge_urls(pages).collect()}
+    blocked = {h for h, v in got.items() if v == "block" and h.endswith(".org")}
+    assert blocked == {"farm.example.org", *(f"c{i}.example.org" for i in range(24)), *(f"l{i}.example.org" for i in range(1500))}
+
+
 def test_pagerank_equals_power_iteration(spark):
     rng = np.random.default_rng(9)
     n = 12

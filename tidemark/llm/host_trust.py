@@ -5,7 +5,9 @@ starts with the rule's; the longest rule wins. A url without a rule takes the ve
 personalised PageRank spreads trust from hosts with allowed pages along links, and distrust from hosts
 with blocked pages against them (who links to blocked hosts is distrusted). Seeds come from the rules,
 weighted by the share of the host's pages that they judge. Only distrust that arrives over links counts,
-so a rule on one folder of a host never blocks its other folders.
+so a rule on one folder of a host never blocks its other folders. Trust and distrust are in units of one
+seed host's mass, so a host's verdict depends on what is linked with it and not on how many other hosts
+the table has.
 
 Defined results: null urls and urls without `://` have an empty host and path, no rule and verdict
 allow; repeated pages are judged each; null html has no links; an empty table gives an empty result.
@@ -15,6 +17,7 @@ Everything runs as DataFrame operations; per-host tables are joined, never colle
 from __future__ import annotations
 
 from collections.abc import Sequence
+from itertools import count
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -69,18 +72,19 @@ def host_edges(pages: DataFrame) -> DataFrame:
     )
 
 
-def personalised_pagerank(edges: DataFrame, seeds: DataFrame, damping: float = 0.85, rounds: int = 20, tolerance: float = 1e-6) -> DataFrame:
+def personalised_pagerank(edges: DataFrame, seeds: DataFrame, damping: float = 0.85, rounds: int | None = None, tolerance: float = 1e-6) -> DataFrame:
     """Rank of each host that the seeds reach: host, seed (its restart mass), rank.
 
-    edges: src, dst, weight; seeds: host, seed (sums to 1). Mass of hosts without outgoing links leaves
-    the walk; at most `rounds` steps, or until a step moves less than `tolerance`. Each step is one
-    join and one aggregation with map-side sums.
+    edges: src, dst, weight; seeds: host, seed. Mass of hosts without outgoing links leaves the walk;
+    goes on until a step moves less than `tolerance` (n hosts of seed 1 take log(tolerance / n) /
+    log(damping) steps at most), or for `rounds` steps where given. Each step is one join and one
+    aggregation with map-side sums.
     """
     total = edges.groupBy("src").agg(F.sum("weight").alias("total"))
     steps = cut(edges.join(total, "src").select("src", "dst", (F.col("weight") / F.col("total")).alias("share")))
     rank = cut(seeds.select("host", "seed", (F.col("seed") * (1 - damping)).alias("rank")))
     moved = rank.select("host", F.col("rank").alias("step"))
-    for _ in range(rounds):
+    for _ in count() if rounds is None else range(rounds):
         moved = (
             moved.join(steps, moved["host"] == steps["src"])
             .groupBy(F.col("dst").alias("host"))
@@ -101,11 +105,10 @@ def personalised_pagerank(edges: DataFrame, seeds: DataFrame, damping: float = 0
     return rank
 
 
-def judge_urls(pages: DataFrame, rules: Sequence[tuple[str, str]] = RULES, damping: float = 0.85, rounds: int = 20, threshold: float = 1e-4) -> DataFrame:
+def judge_urls(pages: DataFrame, rules: Sequence[tuple[str, str]] = RULES, damping: float = 0.85) -> DataFrame:
     """Verdict of each page: page_id, host, path, rule, verdict, trust, distrust.
 
-    A page without a rule is blocked where its host's distrust over links is above its trust and above
-    `threshold` of the whole distrust; else allowed.
+    A page without a rule is blocked where its host's distrust over links is above its trust; else allowed.
     """
     host, path = split_url(F.col("url"))
     rule, ruled = match_rule(F.col("host"), F.col("path"), rules)
@@ -119,19 +122,16 @@ def judge_urls(pages: DataFrame, rules: Sequence[tuple[str, str]] = RULES, dampi
         .agg(F.avg((F.col("ruled") == "allow").cast("int")).alias("allow"), F.avg((F.col("ruled") == "block").cast("int")).alias("block"), F.count("*").alias("n"))
         .select("host", F.expr("coalesce(allow, 0D)").alias("allow"), F.expr("coalesce(block, 0D)").alias("block"))
     )
-    sums = hosts.agg(F.sum("allow").alias("allow"), F.sum("block").alias("block")).first()
 
     def spread(kind: str, links: DataFrame) -> DataFrame:
-        whole = sums[kind] or 0.0
-        seeds = hosts.where(F.col(kind) > 0).select("host", (F.col(kind) / F.lit(whole or 1.0)).alias("seed"))
-        return personalised_pagerank(links, seeds, damping, rounds)
+        return personalised_pagerank(links, hosts.where(F.col(kind) > 0).select("host", F.col(kind).alias("seed")), damping)
 
     trust = spread("allow", edges).select("host", F.col("rank").alias("trust"))
     back = edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"), "weight")
     distrust = spread("block", back).select("host", (F.col("rank") - (1 - damping) * F.col("seed")).alias("distrust"))
     scores = hosts.select("host").join(trust, "host", "left").join(distrust, "host", "left")
     scores = scores.select("host", F.coalesce("trust", F.lit(0.0)).alias("trust"), F.coalesce("distrust", F.lit(0.0)).alias("distrust"))
-    bad = (F.col("distrust") > F.col("trust")) & (F.col("distrust") >= threshold)
+    bad = F.col("distrust") > F.col("trust")
     judged = urls.join(scores, "host", "left").na.fill(0.0, ["trust", "distrust"])
     verdict = F.coalesce("ruled", F.when(bad, F.lit("block")).otherwise(F.lit("allow")))
     return judged.select("page_id", "host", "path", "rule", verdict.alias("verdict"), "trust", "distrust")
