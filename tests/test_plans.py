@@ -138,6 +138,22 @@ def test_submissions(spark):
     assert submission.document_bodies(source.join(chosen, "accession")).first()["body"] == "<p>body</p>"
 
 
+def test_instances(spark):
+    document = lambda kind, name, told, body: f"<DOCUMENT><TYPE>{kind}\n<FILENAME>{name}\n<DESCRIPTION>{told}\n<TEXT>\n{body}\n</TEXT></DOCUMENT>"
+    facts = "<?xml version='1.0'?><xbrli:xbrl>1</xbrli:xbrl>"
+    primary = document("10-K", "main.xml", "10-K", facts)
+    source = docs(
+        spark,
+        primary + document("EX-99", "first.xml", "x", "<other/>") + document("EX-99", "facts.xml", "x", facts),  # by content
+        primary + document("EX-99", "early.xml", "x", facts) + document("OTHER", "told.txt", "XBRL Instance Document", facts),  # by description
+        primary + document("EX-101.INS", "no.xml", "x", "<empty/>") + document("EX-101.INS", "yes.xml", "x", facts),  # stated, but verified
+        primary + document("EX-101.SCHEMA", "a.xml", "x", facts) + document("XML", "a_ref.xml", "x", facts) + document("XSLT", "b.xml", "x", facts),  # none
+    )
+    first = spark.createDataFrame([(f"a{i}", "MAIN.xml") for i in range(4)], "accession string, filename string")
+    assert dict(submission.xbrl_instance(source, first).collect()) == {"a0": "facts.xml", "a1": "told.txt", "a2": "yes.xml"}
+    assert dict(submission.xbrl_instance(source, first.limit(0)).collect()) == {"a0": "main.xml", "a1": "told.txt", "a2": "yes.xml", "a3": "main.xml"}
+
+
 def test_index_pages(spark):
     row = "<tr><td>{0}</td><td>d</td><td><a href='/Archives/edgar/data/1/{1}'>{1}</a></td><td>{2}</td><td>9</td></tr>"
     page = "<table><tr><th>Seq</th></tr>" + row.format(1, "xslF345/a.xml", "4") + row.format(2, "a.xml", "4") + row.format(3, "x.jpg", "GRAPHIC") + "</table><a href='/Archives/edgar/data/1/a.xml'>again</a>"

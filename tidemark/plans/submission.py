@@ -14,6 +14,7 @@ from .batches import Row, parse_each
 
 ROLES = r"FILER|ISSUER|REPORTING-OWNER|SUBJECT\s+COMPANY|FILED-BY"
 HEAD = re.compile(rf"^(?:(?P<colon>{ROLES}):[ \t]*\r?$|[ \t]*<(?P<angle>{ROLES})>)|<(?P<end>DOCUMENT|/SEC-HEADER)>", re.I | re.M)
+TEXTUAL = (".htm", ".html", ".txt", ".xml", ".xsd", ".xsl")
 PARTY = "position int, role string, cik string, name string"
 DOCUMENT = "position int, sequence string, filename string, description string, doc_type string"
 INDEX_ROW = "position int, sequence string, description string, href string, filename string, doc_type string, size string"
@@ -165,9 +166,28 @@ def info_table(docs: DataFrame, primary: DataFrame) -> DataFrame:
     return hits.groupBy("accession").agg(F.min_by("filename", "position").alias("filename"))
 
 
-def xbrl_instance(docs: DataFrame) -> DataFrame:
-    """The instance among the documents: by type, else an XML file that is no linkbase or schema."""
-    kind, low = F.upper(F.coalesce("doc_type", F.lit(""))), F.lower(F.coalesce("filename", F.lit("")))
-    rank = F.when(kind.rlike(r"\.INS$|^XML$|INSTANCE"), 0).when(low.endswith(".xml") & ~low.rlike(r"_(?:cal|def|lab|pre)\.xml$|filingsummary"), 1)
-    rows = docs.withColumn("rank", rank).where("rank IS NOT NULL")
-    return rows.groupBy("accession").agg(F.min_by("filename", F.struct("rank", "position")).alias("filename"))
+def instance(content: bytes | str, primary: str | None) -> Iterator[Row]:
+    """The first document besides the primary one that is said to be an instance, else the first XML file that is no
+    schema, linkbase or stylesheet; either must begin with tagged facts."""
+    stated, others = [], []
+    for row in documents(content):
+        name, kind, told = row["filename"], (row["doc_type"] or "").upper(), (row["description"] or "").lower()
+        low = (name or "").lower()
+        if not low or low == (primary or "").lower() or not low.endswith(TEXTUAL):
+            continue
+        xml = low.endswith(".xml")
+        if "XBRL INSTANCE" in kind or "EX-101.INS" in kind or "xbrl instance" in told or (xml and ("xbrl" in told or "instance" in told)):
+            stated.append(name)
+        if xml and not re.search("SCHEMA|LINKBASE|XSD|XSLT", kind) and not re.search(r"_(?:lab|def|pre|cal|ref)\.", low):
+            others.append(name)
+    for name in dict.fromkeys([*stated, *others]):
+        for found in document_body(content, name):
+            if re.search(r"<xbrli:xbrl|<xbrl|<ix:header", found["body"][:10240], re.I):
+                yield {"filename": name}
+                return
+
+
+def xbrl_instance(submissions: DataFrame, primary: DataFrame) -> DataFrame:
+    """accession, filename of the instance by type or description, else by content. submissions: accession, content; primary: accession, filename."""
+    both = submissions.select("accession", "content").join(primary.select("accession", F.col("filename").alias("primary")), "accession", "left")
+    return parse_each(both, instance, "filename string", extra=("primary",))
