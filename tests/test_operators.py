@@ -34,6 +34,17 @@ def test_header_resolution(spark):
     assert got == {"cik": ("hdr_match", "0000000001"), "stranger": ("irrelevant", None), "name": ("hdr_match", "0000000002"), "alias": ("hdr_match", "0000000001"), "subject": ("unresolved", None), "nobody": ("hdr_failed", None)}
 
 
+def test_candidates_by_variants_hints_and_fallback(spark):
+    companies = resolve.normalised(spark.createDataFrame([(1, "ZORB MFG", ""), (2, "QUUX", ""), (3, "NVIDEA", "")], "company_id int, name string, ticker string"))
+    entities = resolve.normalised(spark.createDataFrame([("a", "MANUFACTURING", "", True), ("b", "BLARG WIDGETS INTL PLASTICS", "", True), ("c", "NVIDIA", "", True), ("d", "NVIDEAS", "", False)], "cik string, name string, ticker string, current boolean"))
+    hints = spark.createDataFrame([(2, "", "BLARG WIDGETS INTL PLASTIC", 0.5)], "company_id int, ticker string, norm string, score double")
+    rows = {(r["company_id"], r["cik"]): r for r in resolve.gather_candidates(companies, entities, hints).collect()}
+    assert (1, "a") in rows
+    assert "figi_fuzzy" in rows[2, "b"]["evidence"] and rows[2, "b"]["id_backed"]
+    assert rows[3, "c"]["evidence"] == ["fuzzy"] and (3, "d") not in rows
+    assert not [r for r in resolve.token_candidates(companies, entities).collect() if r["company_id"] == 3]
+
+
 COMPANIES = [("NVIDIA CORP", "0001045810"), ("APPLE INC", "0000320193"), ("MICROSOFT CORP", "0000789019"), ("AMAZON.COM INC", "0001018724"), ("MAHINDRA &amp; MAHINDRA", "0001076930"), ("MUENCHENER RUECKVER AG-REG", "0001781933")]
 ENTITIES = [("0001045810", "NVIDIA CORP", "NVDA"), ("0000320193", "Apple Inc.", "AAPL"), ("0000789019", "MICROSOFT CORP", "MSFT"), ("0001018724", "AMAZON COM INC", "AMZN"), ("0001781933", "MUENCHENER RUCKVERSICHERUNGS-GESELLSCHAFT AG IN MUENCHEN", "MURGY"), ("0001076930", "MAHINDRA & MAHINDRA LTD", "MAHMF")]
 HINTS = [(0, "NVDA", "NVIDIA CORP", "US"), (1, "AAPL", "APPLE INC", "US"), (2, "MSFT", "MICROSOFT CORP", "US"), (3, "AMZN", "AMAZON COM INC", "US"), (4, "MM", "MAHINDRA & MAHINDRA LTD", "IB"), (4, "MAHMF", "MAHINDRA & MAHINDRA", "US"), (5, "MUV2", "MUENCHENER RUECKVER AG-REG", "GY"), (5, "MURGY", "MUENCHENER RUCK MUNICH RE REG", "US")]

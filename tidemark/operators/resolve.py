@@ -37,18 +37,34 @@ def token_index(entities: DataFrame) -> DataFrame:
     return entities.select("cik", F.explode(F.array_distinct(F.split("norm", " "))).alias("token")).where("token <> ''").distinct()
 
 
+def name_forms(companies: DataFrame) -> DataFrame:
+    """company_id, forms (norm and the variants of `name`, if there is one), words (of the forms and of `hinted`, if given)."""
+    c = companies.columns
+    forms = F.concat(F.array("norm"), text.recall_variants(F.col("name"))) if "name" in c else F.array("norm")
+    asked = F.concat(F.col("forms"), F.coalesce("hinted", F.array().cast("array<string>"))) if "hinted" in c else F.col("forms")
+    words = F.array_distinct(F.flatten(F.transform(asked, lambda x: F.split(x, " "))))
+    return companies.where("norm <> ''").withColumn("forms", F.array_distinct(forms)).select("company_id", "forms", words.alias("words"))
+
+
 def token_candidates(companies: DataFrame, entities: DataFrame, pool: int = POOL) -> DataFrame:
     """company_id, cik, hits: entities that share words with a company's name, at most `pool` per company,
-    most shared words first. companies: company_id, norm. The pool is what the operator is: a top-k."""
-    words = companies.select("company_id", F.explode(F.array_distinct(F.split("norm", " "))).alias("token")).where("token <> ''")
+    most shared words first. companies: as for name_forms. The pool is what the operator is: a top-k."""
+    words = name_forms(companies).select("company_id", F.explode("words").alias("token")).where("token <> ''")
     hits = words.join(token_index(entities), "token").groupBy("company_id", "cik").agg(F.count("*").alias("hits"))
     own = Window.partitionBy("company_id").orderBy(F.col("hits").desc(), F.col("cik"))
     return hits.withColumn("place", F.row_number().over(own)).where(F.col("place") <= pool).drop("place")
 
 
 def fuzzy_candidates(companies: DataFrame, entities: DataFrame, pool: int = POOL, nearest: int = NEAREST) -> DataFrame:
-    """company_id, cik, similarity: the most similar names among the token candidates."""
-    rows = token_candidates(companies, entities, pool).join(companies, "company_id").withColumnRenamed("norm", "left").join(entities.select("cik", F.col("norm").alias("right")), "cik")
+    """company_id, cik, similarity: the most similar names among the token candidates, by the best of a company's forms.
+
+    A company none of whose words is found is compared with all entities (those that are `current`, if that is given).
+    """
+    forms, found = name_forms(companies), token_candidates(companies, entities, pool).select("company_id", "cik")
+    lost = forms.select("company_id").join(found.select("company_id").distinct(), "company_id", "left_anti")
+    every = entities.where("current") if "current" in entities.columns else entities
+    pairs = found.unionByName(lost.crossJoin(every.select("cik").distinct()))
+    rows = pairs.join(forms.select("company_id", F.explode("forms").alias("left")), "company_id").join(entities.select("cik", F.col("norm").alias("right")), "cik")
     best = rows.withColumn("similarity", similarity(F.col("left"), F.col("right"))).groupBy("company_id", "cik").agg(F.max("similarity").alias("similarity"))
     own = Window.partitionBy("company_id").orderBy(F.col("similarity").desc(), F.col("cik"))
     return best.where("similarity > 0").withColumn("place", F.row_number().over(own)).where(F.col("place") <= nearest).drop("place")
@@ -75,6 +91,7 @@ def gather_candidates(companies: DataFrame, entities: DataFrame, hints: DataFram
     """company_id, cik, score, id_backed, exact, evidence: all candidate searches with their scores added up.
 
     companies: company_id, norm, ticker; entities: cik, norm, ticker, current; hints: company_id, ticker, norm, score.
+    A company's `name`, if given, is also searched by its variants.
     """
     e = entities.select("cik", "norm", F.col("ticker").alias("__ticker"), "current")
     found = lambda df, score, how, backed, exact: df.select("company_id", "cik", F.lit(score).alias("score") if not isinstance(score, Column) else score.alias("score"), F.lit(how).alias("how"), F.lit(backed).alias("id_backed"), F.lit(exact).alias("exact"))
@@ -82,13 +99,18 @@ def gather_candidates(companies: DataFrame, entities: DataFrame, hints: DataFram
     by_hint = hints.where("ticker <> ''").drop("norm").join(e, F.col("ticker") == F.col("__ticker"))
     hint_name = hints.drop("ticker", "score").distinct().join(e, "norm")
     name = companies.drop("ticker").join(e, "norm")
-    fuzzy = fuzzy_candidates(companies.select("company_id", "norm"), entities.select("cik", "norm")).join(companies.select("company_id", "norm"), "company_id")
+    hinted = hints.where("norm <> ''").groupBy("company_id").agg(F.collect_set("norm").alias("hinted"))
+    names = entities.select("cik", "norm", "current")
+    asked = hints.select(F.struct("company_id", "norm").alias("company_id"), "norm", F.col("norm").alias("name")).distinct()
+    near_hint = fuzzy_candidates(asked, names).where("similarity >= 0.85").select("company_id.company_id", "cik", "similarity")
+    fuzzy = fuzzy_candidates(companies.drop("ticker").join(hinted, "company_id", "left"), names).join(companies.select("company_id", "norm"), "company_id")
     close = fuzzy.where(F.col("similarity") >= F.greatest(F.lit(0.78), numbers.name_threshold(F.col("norm")) - 0.12))
     rows = found(own, 0.95, "ticker", False, False)
     for more in (
         found(by_hint, 0.98, "figi_ticker", True, False),
         found(hint_name, 0.82, "figi_name", True, True),
         found(name, F.when(F.col("current"), 0.92).otherwise(0.84), "name", False, True),
+        found(near_hint, 0.40 + 0.30 * F.col("similarity"), "figi_fuzzy", True, False),
         found(close, 0.42 + 0.28 * F.col("similarity"), "fuzzy", False, False),
     ):
         rows = rows.unionByName(more)
