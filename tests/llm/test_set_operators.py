@@ -68,8 +68,8 @@ def test_ngram_join_with_long_lists(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
     want = brute_components(rows)
     assert len({c for _, _, c in want}) > 5
-    for short in (3, ngram_join.SHORT):
-        assert joined(docs, short=short) == want
+    for short, hot in ((3, ngram_join.HOT), (ngram_join.SHORT, ngram_join.HOT), (3, 32), (ngram_join.SHORT, 32)):
+        assert joined(docs, short=short, hot=hot) == want
 
 
 def test_ngram_join_without_ids_and_with_shared_ids(spark):
@@ -90,6 +90,64 @@ def test_groups_of_equal_prefixes(spark):
     assert joined(docs) == brute_components(rows)
 
 
+def test_groups_span_blocks_and_are_split(spark, monkeypatch):
+    """Texts with equal prefixes and sizes from many blocks: near ones, and unlike ones that differ in frequent shingles only."""
+    rare = [f"r{j}" for j in range(40)]
+    common = [[f"c{i}_{j}" for j in range(70)] for i in range(6)]
+    rows = [(len(common) * n + i, " ".join(c)) for n in range(40) for i, c in enumerate(common)]  # makes their shingles frequent
+    texts = [rare + c for c in common]  # one prefix, one size, all unlike
+    texts += [rare + [*c[:-1], "x"] for c in common]
+    rows += [(1000 + i, " ".join(t)) for i, t in enumerate(texts)]
+    rows += [(2000 + i, " ".join(t + ["y", "z"])) for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(7)
+    monkeypatch.setattr(ngram_join, "FREQUENT", 4)
+    monkeypatch.setattr(ngram_join, "LOCAL", 1)
+    for short, hot in ((3, 10), (ngram_join.SHORT, ngram_join.HOT)):
+        assert joined(docs, short=short, hot=hot) == brute_components(rows)
+    rarely = {f"r{j}" for j in range(40)}
+    assert any(set(t.split()) & rarely for _, t in rows)
+
+
+def test_one_passage_in_many_unlike_documents(spark):
+    """The passage is nearly all of each text, and the texts are just unlike enough: its shingles stand in every prefix."""
+    passage = [f"p{j}" for j in range(100)]
+    rows = [(i, " ".join(passage + [f"u{i}_{j}" for j in range(6 + i % 7)])) for i in range(2000)]
+    rows += [(5000 + i, t + " end") for i, t in rows[:50]]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    sizes = {i: len(t.split()) - 3 for i, t in rows}
+    got = {r["doc_id"]: r["component_id"] for r in ngram_join.jaccard_components(docs).collect()}
+    root = {i: i for i in sizes}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x] = root[root[x]]
+        return x
+
+    for size in sorted(set(sizes.values())):  # texts share the passage's 97 shingles only, but for the pairs made above
+        for other in sorted(set(sizes.values())):
+            if 100 * 97 >= 85 * (size + other - 97):
+                a, b = [i for i in sizes if sizes[i] == size], [i for i in sizes if sizes[i] == other]
+                for x in a:
+                    root[find(max(x, b[0]))] = find(min(x, b[0]))
+                    root[find(max(a[0], b[0]))] = find(min(a[0], b[0]))
+    for i in range(50):
+        root[find(5000 + i)] = find(i)
+    least = {}
+    for i in sorted(sizes):
+        least.setdefault(find(i), i)
+    assert got == {i: least[find(i)] for i in sizes}
+
+
+def test_ids_of_other_types(spark):
+    big = 2**60 + 1
+    rows = [(big, "one two three four five six"), (big + 2, "one two three four five six"), (None, "seven eight nine ten")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {(r["doc_id"], r["component_id"]) for r in ngram_join.jaccard_components(docs).collect()} == {(big, big), (big + 2, big), (None, None)}
+    text = docs.withColumn("doc_id", F.concat(F.lit("x"), F.col("doc_id").cast("string")))
+    assert {(r["doc_id"], r["component_id"]) for r in ngram_join.jaccard_components(text).collect()} == {(f"x{big}", f"x{big}"), (f"x{big + 2}", f"x{big}"), (None, None)}
+    assert [r["doc_id"] for r in curriculum.mix_sources(docs.withColumn("source", F.lit("s"))).orderBy("doc_id").collect()] == [None, big, big + 2]
+
+
 def test_components_of_random_graphs(spark):
     rng = np.random.default_rng(4)
     edges = [(int(a), int(b)) for a, b in rng.integers(0, 120, (90, 2))] + [(i, i + 1) for i in range(200, 260)]
@@ -126,8 +184,8 @@ def test_hamming_search(spark, sf):
         got = Counter(tuple(r) for r in hamming_search.top_k(df, F.col("vec_id") % 50 == 0, k).collect())
         want = brute_nearest(clean, k)
         assert set(got) == set(want)
-        blocks = hamming_search.top_k(df, F.col("vec_id") % 50 == 0, k, codes_in_block=40, queries_in_block=2)
-        assert Counter(tuple(r) for r in blocks.collect()) == got
+        for bits in (8, 32):
+            assert Counter(tuple(r) for r in hamming_search.top_k(df, F.col("vec_id") % 50 == 0, k, bits=bits).collect()) == got
     few = df.limit(3).where("vec_id < 300")
     assert hamming_search.top_k(few, F.lit(True), 10).count() == 9
     assert hamming_search.top_k(df.limit(0), F.lit(True), 10).count() == 0
@@ -140,8 +198,8 @@ def test_tied_groups_of_copies(spark):
     vectors = [(50, at())] + [(i, at(*bits)) for bits, group in zip(tied, ids, strict=True) for i in group]
     df = spark.createDataFrame(vectors, "vec_id long, embedding array<double>")
     for k in (2, 3, 4, 6, 20):
-        for codes in (hamming_search.CODES, 2):
-            got = Counter(tuple(r) for r in hamming_search.top_k(df, F.col("vec_id") == 50, k, codes_in_block=codes).collect())
+        for bits in (8, 16):
+            got = Counter(tuple(r) for r in hamming_search.top_k(df, F.col("vec_id") == 50, k, bits=bits).collect())
             assert got == {x: n for x, n in brute_nearest(vectors, k).items() if x[0] == 50}
 
 

@@ -65,9 +65,10 @@ class Demand:
         return self.t[k] + np.divide(2 * rest, root, out=np.zeros_like(rest), where=root > 0)
 
 
-def measure(docs: DataFrame, id_col: str, text_col: str, source_col: str) -> DataFrame:
-    """id, source, size of each row."""
+def measure(docs: DataFrame, id_col: str, text_col: str, source_col: str, keep: Sequence[str] = ()) -> DataFrame:
+    """id, source, size and the columns to keep of each row."""
     kinds = dict(docs.dtypes)
+    extra = "".join(f", `{c}` {kinds[c]}" for c in keep)
 
     def words(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -75,8 +76,9 @@ def measure(docs: DataFrame, id_col: str, text_col: str, source_col: str) -> Dat
             batch["size"] = np.array([0 if t is None else len(t.encode("utf-8", "surrogatepass").split()) for t in batch["text"]], "int64")
             yield batch.drop(columns="text")
 
-    rows = docs.selectExpr(f"`{id_col}` AS id", f"`{source_col}` AS source", f"`{text_col}` AS text")
-    return rows.mapInPandas(words, f"id {kinds[id_col]}, source string, size long")
+    # ids travel as text: whole numbers with nulls would become floating point
+    rows = docs.selectExpr(f"CAST(`{id_col}` AS string) AS id", f"`{source_col}` AS source", *(f"`{c}`" for c in keep), f"`{text_col}` AS text")
+    return rows.mapInPandas(words, f"id string, source string{extra}, size long").withColumn("id", F.col("id").cast(kinds[id_col]))
 
 
 def mix_sources(
@@ -89,15 +91,16 @@ def mix_sources(
     schedules: Sequence[Sequence[tuple[float, float]]] = SCHEDULES,
     whole: bool = False,
     seed: str = "mix",
+    keep: Sequence[str] = (),
 ) -> DataFrame:
-    """Per row, sorted by position: id, size, source_size, target, taken, copies, position.
+    """Per row, sorted by position: id, size, source_size, target, taken, copies, position, and the columns named in `keep` (long, not null).
 
     taken: words that the mix takes; with `whole`, documents are taken whole, else the last one of a
     source may be taken in part. copies: how often the document is taken whole. position: training time
     0..1 of the first copy, null if none is taken.
     """
     spark = docs.sparkSession
-    rows = cut(measure(docs, id_col, text_col, source_col))
+    rows = cut(measure(docs, id_col, text_col, source_col, keep))
     per_source = rows.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("rows")).limit(MAX_SOURCES + 1).collect()
     if len(per_source) > MAX_SOURCES:
         raise ValueError(f"more than {MAX_SOURCES} sources")
@@ -128,9 +131,12 @@ def mix_sources(
     first = F.when(F.col("full") > 0, F.col("size")).otherwise(F.col("extra"))
     passed = F.when(F.col("taken") > 0, (F.col("before") + first / 2.0) / F.col("demand"))
     placed = placed.withColumn("copies", copies).withColumn("passed", passed)
-    timed = placed.select("id", "s", "size", "source_size", "target", "taken", "copies", "passed").mapInPandas(
-        timing(schedules), f"id {dict(docs.dtypes)[id_col]}, size long, source_size long, target double, taken long, copies int, position double"
+    kind, extra = dict(docs.dtypes)[id_col], "".join(f", `{c}` long" for c in keep)
+    # ids travel as text: whole numbers with nulls would become floating point
+    timed = placed.select(F.col("id").cast("string").alias("id"), "s", "size", "source_size", "target", "taken", "copies", "passed", *keep).mapInPandas(
+        timing(schedules), f"id string, size long, source_size long, target double, taken long, copies int{extra}, position double"
     )
+    timed = timed.withColumn("id", F.col("id").cast(kind))
     # NaN would sort last and stay NaN: untaken rows get null
     timed = timed.withColumn("position", F.when(F.col("taken") > 0, F.round("position", 6)))
     # the hash parts the rows that have no position

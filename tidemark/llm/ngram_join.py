@@ -6,38 +6,47 @@ shingles, two sets that are similar enough share `SHARED` of their first n - cei
 shingles (fewer where the sets are smaller). Frequent shingles, found by counts over all documents, come
 last in the order.
 
-1. Nodes with the same prefix and size form a group that posts once. Postings (shingle, group) of all
-   prefixes are gathered by shingle. Short lists give all their pairs of groups that size and position
-   allow; pairs that stand in enough short lists, or in any if both groups post to long ones too, are
-   expanded to the groups' members, of which a group has `GROUP` at most.
-2. Long lists, however long, give star pairs instead: each node with the node of its list and size band
-   that stands in most long lists. Their other pairs are held back.
-3. Pairs whose counts per hash range rule out enough common shingles are dropped (an upper bound, so
-   exact). Of the rest, one pair for each node is verified first; then those between different
-   components.
-4. Of the long lists, the pairs between different components are formed now (members outside a list's
-   largest component with all members), where positions leave room, filtered and verified. The first
-   shingle that two similar nodes share stands either in a long list, and leaves room, or in a short one;
-   then the first `SHARED` of them do, or both nodes post to long lists. So each pair of similar nodes is
-   verified or already in one component, and no list is expanded into all its pairs.
+1. Nodes with the same prefix and size form one group, whichever blocks they come from: the group's name
+   is a hash of both. Groups post each shingle of their prefix. Postings of the most frequent shingles
+   (`HOT` documents or more) go straight to the long lists, so that no task gathers them; the others are
+   gathered by shingle.
+2. Short lists give all their pairs of groups that size and position allow, if they stand in enough short
+   lists, or in any if both groups post to long ones too. Long lists give star pairs: each group with the
+   group of its list and size band that stands in most long lists.
+3. Each group has a head, its least node. The heads of group pairs, and each member with the head of its
+   group, are the first pairs of nodes: their number is linear in the lists and the groups. Those whose
+   counts per hash range rule out enough common shingles are dropped (an upper bound, so exact). Of the
+   rest, one pair for each node is verified first; then those between different components.
+4. Then groups are expanded: a group's members are split by component, and only parts in different
+   components are paired, within a group, between the groups of a pair, and along the long lists. There,
+   the smaller of two sets must leave room for the larger one behind their first common shingle; a set
+   whose own position leaves room for smaller partners only isn't joined as the smaller one, so unlike
+   documents that share a frequent passage form no pairs. The pairs are filtered and verified as before.
+
+The first shingle that two similar nodes share stands either in a long list, and leaves room, or in a
+short one; then the first `SHARED` of them do, or both nodes post to long lists. So each pair of similar
+nodes is verified or already in one component, and neither a list nor a group is expanded into all its
+pairs unless its members are all unlike though sizes, rare shingles and positions agree.
 
 Defined results: null, empty and white-space texts have 0 shingles and link with nothing, not even each
-other; fewer than four words give one shingle of the whole; repeated rows are one node; null ids join
-components but don't name them; an empty table gives an empty result. Nodes are told apart by 64-bit
-fingerprints of their sets (for 10^9 different texts, a chance of 3 % that any two are confused).
+other; fewer than four words give one shingle of the whole; repeated rows are one node; ids of any type
+that has an order; null ids join components but don't name them; an empty table gives an empty result.
+Nodes are told apart by 64-bit fingerprints of their sets (for 10^9 different texts, a chance of 3 % that
+any two are confused).
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut
-from .components import components
+from .common import Work, cut, small
+from .components import components, joined
 
 WORDS = 4
 THRESHOLD = 85
@@ -45,15 +54,14 @@ THRESHOLD = 85
 SHARED = 3
 #: The longest list whose pairs are formed directly.
 SHORT = 128
-#: The most members of a group.
-GROUP = 16
+#: Documents of a shingle from which its postings go straight to the long lists.
+HOT = 5000
 #: A shingle is frequent if it stands in so many documents by the counts below.
 FREQUENT = 32
 LOCAL = 4
 HELD = 6_000_000
-#: The most frequent shingles, and the most nodes, that are sent to all workers.
+#: The most frequent shingles that are sent to all workers.
 MOST_FREQUENT = 500_000
-MOST_NODES = 500_000
 RANGES = 64
 
 
@@ -102,7 +110,9 @@ def needed(n1, n2, threshold: int):
 
 
 def survey(docs: DataFrame, words: int) -> DataFrame:
-    """One sweep over all texts: rows (0, id, n, node, ranges) per document and (1, null, count, shingle, null) for shingles that repeat within a block of documents."""
+    """One sweep over all texts (id, row, text): rows (0, id, row, n, node, ranges) per document and
+    (1, null, 0, count, shingle, null) for shingles that repeat within a block of documents."""
+    kind = dict(docs.dtypes)["id"]
 
     def sweep(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: list[np.ndarray] = []
@@ -111,7 +121,7 @@ def survey(docs: DataFrame, words: int) -> DataFrame:
         def repeated() -> pd.DataFrame:
             values, counts = np.unique(np.concatenate(held), return_counts=True) if held else (np.empty(0, np.uint64), np.empty(0, np.int64))
             often = counts >= LOCAL
-            return pd.DataFrame({"kind": np.int8(1), "id": pd.array([pd.NA] * int(often.sum()), "Int64"), "n": counts[often], "key": values[often].view(np.int64), "ranges": None})
+            return pd.DataFrame({"kind": np.int8(1), "id": None, "row": np.int64(0), "n": counts[often], "key": values[often].view(np.int64), "ranges": None})
 
         seen: set[int] = set()
         for batch in batches:
@@ -125,23 +135,26 @@ def survey(docs: DataFrame, words: int) -> DataFrame:
                     seen.add(keys[-1])
                     held.append(s)
                     size += len(s)
-            yield pd.DataFrame({"kind": np.int8(0), "id": batch["id"].astype("Int64"), "n": ns, "key": keys, "ranges": ranges})
+            yield pd.DataFrame({"kind": np.int8(0), "id": batch["id"], "row": batch["row"], "n": ns, "key": keys, "ranges": ranges})
             if size > HELD:
                 yield repeated()
                 held, size = [], 0
                 seen.clear()
         yield repeated()
 
-    return docs.select("id", "text").mapInPandas(sweep, "kind byte, id long, n long, key long, ranges binary")
+    # ids travel as text: whole numbers with nulls would become floating point
+    rows = docs.select(F.col("id").cast("string").alias("id"), "row", "text").mapInPandas(sweep, "kind byte, id string, row long, n long, key long, ranges binary")
+    return rows.withColumn("id", F.col("id").cast(kind))
 
 
-def frequent_shingles(counts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+def frequent_shingles(counts: DataFrame, work: Work) -> tuple[np.ndarray, np.ndarray]:
     """Frequent shingles with their counts, sorted; at most MOST_FREQUENT, by a threshold that grows."""
-    summed = cut(counts.groupBy("key").agg(F.sum("n").alias("n")).where(F.col("n") >= FREQUENT))
+    summed = work.keep(counts.groupBy("key").agg(F.sum("n").alias("n")).where(F.col("n") >= FREQUENT))
     level = FREQUENT
     while summed.where(F.col("n") >= level).count() > MOST_FREQUENT:
         level *= 2
     rows = summed.where(F.col("n") >= level).toPandas()
+    work.drop(summed)
     tokens = rows["key"].to_numpy(np.int64).view(np.uint64)
     order = np.argsort(tokens)
     return tokens[order], rows["n"].to_numpy(np.int64)[order]
@@ -162,41 +175,43 @@ def ordered_prefix(s: np.ndarray, p: int, tokens: np.ndarray, counts: np.ndarray
     return np.concatenate([rare, late[np.lexsort((late, counts[at[often]]))]])[:p]
 
 
-def postings(docs: DataFrame, frequent, words: int, threshold: int, most: int = GROUP) -> DataFrame:
-    """Nodes grouped by prefix and size, at most `most` of a block of documents in a group.
+def postings(docs: DataFrame, frequent, words: int, threshold: int, hot: int = HOT) -> DataFrame:
+    """Nodes grouped by prefix and size.
 
-    Rows (0, token, group, place) for each shingle of a group's prefix (place: size and position),
-    (2, node, node, 0) for pairs within a group and (3, node, group, 0) for members. A group of one is
-    its node and has no such rows.
+    Rows (0, token, group, place) for each shingle of a group's prefix (place: size and position), (1, group,
+    token, place) for those of hot shingles, and (3, node, group, 0) for members; the rows of a group
+    repeat in other blocks of documents.
     """
     import xxhash
 
     def post(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         tokens, counts = frequent.value
+        often = tokens[counts >= hot]
         seen: set[int] = set()
+        posted: set[int] = set()
         for batch in batches:
-            groups: dict[tuple[int, bytes, int], list[int]] = {}
-            times: dict[tuple[int, bytes], int] = {}
+            parts, nodes, names = [], [], []
             for text in batch["text"]:
                 s = shingles(text, words)
                 if not len(s) or (node := fingerprint(s)) in seen:
                     continue
                 seen.add(node)
-                first = ordered_prefix(s, prefix_length(len(s), threshold), tokens, counts).tobytes()
-                key = (len(s), first)
-                times[key] = times.get(key, 0) + 1
-                groups.setdefault((*key, (times[key] - 1) // most), []).append(node)
-            parts = []
-            for (n, first, _), nodes in groups.items():
-                group = nodes[0]
-                if len(nodes) > 1:
-                    nodes.sort()
-                    group = int(np.uint64(xxhash.xxh3_64_intdigest(np.array(nodes, np.int64).tobytes())).astype(np.int64))
-                    parts.append(rows_of(3, nodes, group, 0))
-                    parts += [rows_of(2, nodes[:i], v, 0) for i, v in enumerate(nodes) if i]
-                prefix = np.frombuffer(first, np.int64)
-                parts.append(rows_of(0, prefix, group, np.arange(len(prefix), dtype=np.int64) + (n << 32)))
-            if parts:
+                first = ordered_prefix(s, prefix_length(len(s), threshold), tokens, counts)
+                group = int(np.uint64(xxhash.xxh3_64_intdigest(first.tobytes(), len(s))).astype(np.int64))
+                nodes.append(node)
+                names.append(group)
+                if group in posted:
+                    continue
+                posted.add(group)
+                prefix, place = first.view(np.int64), np.arange(len(first), dtype=np.int64) + (len(s) << 32)
+                at = np.minimum(np.searchsorted(often, first), len(often) - 1) if len(often) else None
+                warm = often[at] == first if at is not None else np.zeros(len(first), bool)
+                parts.append(rows_of(0, prefix[~warm], group, place[~warm]))
+                if warm.any():
+                    n = int(warm.sum())
+                    parts.append((np.ones(n, np.int8), np.full(n, group, np.int64), prefix[warm], place[warm]))
+            if nodes:
+                parts.append((np.full(len(nodes), 3, np.int8), np.array(nodes, np.int64), np.array(names, np.int64), np.zeros(len(nodes), np.int64)))
                 kind, token, node, place = (np.concatenate(x) for x in zip(*parts, strict=True))
                 yield pd.DataFrame({"kind": kind, "token": token, "node": node, "place": place})
 
@@ -249,7 +264,7 @@ def list_pairs(posted: DataFrame, threshold: int, short: int = SHORT) -> DataFra
         for batch in batches:
             other = (batch["kind"] != 0).to_numpy()
             if other.any():
-                yield pd.DataFrame({"kind": batch["kind"][other], "a": batch["token"][other], "b": batch["node"][other], "place": np.int64(0)})
+                yield pd.DataFrame({"kind": batch["kind"][other], "a": batch["token"][other], "b": batch["node"][other], "place": batch["place"][other]})
                 batch = batch[~other]
             if not len(batch):
                 continue
@@ -274,8 +289,8 @@ def list_pairs(posted: DataFrame, threshold: int, short: int = SHORT) -> DataFra
     return dealt.mapInPandas(run, "kind byte, a long, b long, place long")
 
 
-def sets_of(docs: DataFrame, nodes: DataFrame, words: int) -> DataFrame:
-    """node, shingles (bytes) of the nodes asked for (node, id: its least document).
+def sets_of(docs: DataFrame, nodes: DataFrame, words: int, rows: int) -> DataFrame:
+    """node, shingles (bytes) of the nodes asked for (node, id: its least document; `rows` of them).
 
     Only the documents that stand for a node are read again. Copies under the least id give equal rows,
     which is harmless where pairs are verified.
@@ -283,26 +298,25 @@ def sets_of(docs: DataFrame, nodes: DataFrame, words: int) -> DataFrame:
 
     def collect(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            rows = []
+            out = []
             for node, text in zip(batch["node"], batch["text"], strict=True):
                 s = shingles(text, words)
-                if len(s) and (pd.isna(node) or fingerprint(s) == node):
-                    rows.append((fingerprint(s), s.tobytes()))
-            yield pd.DataFrame(rows, columns=["node", "shingles"])
+                if len(s) and (node is None or fingerprint(s) == int(node)):
+                    out.append((fingerprint(s), s.tobytes()))
+            yield pd.DataFrame(out, columns=["node", "shingles"])
 
     kind = "node long, shingles binary"
-    named, bare = nodes.where("id IS NOT NULL"), nodes.where("id IS NULL")
-    few = named.limit(MOST_NODES + 1).count() <= MOST_NODES
-    found = docs.join(F.broadcast(named) if few else named, "id").select("node", "text").mapInPandas(collect, kind)
+    named, bare = nodes.where("id IS NOT NULL").select("id", F.col("node").cast("string").alias("node")), nodes.where("id IS NULL")
+    found = docs.join(small(named, rows), "id").select("node", "text").mapInPandas(collect, kind)
     if bare.isEmpty():
         return found
     # nodes that no id stands for: all texts without an id, then those asked for
-    rest = docs.where("id IS NULL").select(F.lit(None).cast("long").alias("node"), "text").mapInPandas(collect, kind)
+    rest = docs.where("id IS NULL").select(F.lit(None).cast("string").alias("node"), "text").mapInPandas(collect, kind)
     return found.unionByName(rest.join(bare.select("node"), "node", "left_semi").dropDuplicates(["node"]))
 
 
-def possible(pairs: DataFrame, nodes: DataFrame, threshold: int) -> DataFrame:
-    """Pairs u, v that the counts per hash range don't rule out."""
+def possible(pairs: DataFrame, info: DataFrame, threshold: int) -> DataFrame:
+    """Pairs u, v that the counts per hash range don't rule out. info: node, n, ranges."""
 
     @F.pandas_udf("boolean")
     def enough(n1: pd.Series, n2: pd.Series, r1: pd.Series, r2: pd.Series) -> pd.Series:
@@ -312,8 +326,8 @@ def possible(pairs: DataFrame, nodes: DataFrame, threshold: int) -> DataFrame:
         common = np.where(np.minimum(a, b) == 65535, 1 << 40, np.minimum(a, b)).sum(1)
         return pd.Series(common >= needed(n1.to_numpy(), n2.to_numpy(), threshold))
 
-    one = nodes.select(F.col("node").alias("u"), F.col("n").alias("n1"), F.col("ranges").alias("r1"))
-    two = nodes.select(F.col("node").alias("v"), F.col("n").alias("n2"), F.col("ranges").alias("r2"))
+    one = info.select(F.col("node").alias("u"), F.col("n").alias("n1"), F.col("ranges").alias("r1"))
+    two = info.select(F.col("node").alias("v"), F.col("n").alias("n2"), F.col("ranges").alias("r2"))
     return pairs.join(one, "u").join(two, "v").where(enough("n1", "n2", "r1", "r2")).select("u", "v")
 
 
@@ -329,16 +343,20 @@ def verified(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
             out.append(100 * common >= threshold * (len(a) + len(b) - common))
         return pd.Series(out, dtype=bool)
 
-    asked = pairs.select(F.col("u").alias("node")).union(pairs.select("v")).distinct()
-    sets = sets.join(asked, "node", "left_semi")  # few of them are needed after the first round
+    sets = sets.join(ends(pairs), "node", "left_semi")  # few of them are needed after the first round
     one = sets.select(F.col("node").alias("u"), F.col("shingles").alias("s1"))
     two = sets.select(F.col("node").alias("v"), F.col("shingles").alias("s2"))
-    return pairs.join(one, "u").join(two, "v").where(similar("s1", "s2")).select("u", "v")
+    return pairs.join(one, "u").join(two, "v").where(similar("s1", "s2")).select("u", "v").distinct()
+
 
+def ends(pairs: DataFrame) -> DataFrame:
+    """The nodes that stand in pairs."""
+    return pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct()
 
-def nodes_in(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """node, id of the nodes that stand in pairs."""
-    return cut(nodes.select("node", "id").join(pairs.select(F.col("u").alias("node")).union(pairs.select("v")).distinct(), "node", "left_semi"))
+
+def ordered(pairs: DataFrame) -> DataFrame:
+    """Pairs u < v, each once."""
+    return pairs.where("u <> v").select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
 
 
 def across(pairs: DataFrame, roots: DataFrame) -> DataFrame:
@@ -348,70 +366,119 @@ def across(pairs: DataFrame, roots: DataFrame) -> DataFrame:
     return both.where(F.coalesce("r1", "u") != F.coalesce("r2", "v")).select("u", "v")
 
 
-def link(docs: DataFrame, survey_rows: DataFrame, words: int, threshold: int, short: int) -> DataFrame:
-    """node, root for each node that has links."""
-    spark = docs.sparkSession
-    frequent = spark.sparkContext.broadcast(frequent_shingles(survey_rows.where("kind = 1").select("key", "n")))
-    lists = cut(list_pairs(postings(docs, frequent, words, threshold), threshold, short))
-    members = lists.where("kind = 3").select(F.col("a").alias("member"), F.col("b").alias("group")).distinct()
+def likely(pairs: DataFrame, nodes: DataFrame, threshold: int, work: Work) -> tuple[DataFrame, DataFrame, int]:
+    """Pairs that aren't ruled out, the nodes in them (node, id) and their number."""
+    pairs, n = work.sized(ordered(pairs))
+    asked = small(ends(pairs), 2 * n)
+    info, _ = work.sized(nodes.join(asked, "node", "left_semi"))
+    good, n = work.sized(possible(pairs, info, threshold))
+    named, n = work.sized(info.select("node", "id").join(small(ends(good), 2 * n), "node", "left_semi"))
+    work.drop(pairs, info)
+    return good, named, n
+
+
+def star_pairs(long: DataFrame, threshold: int, work: Work) -> DataFrame:
+    """Pairs of groups a, b: the head of a list's size band with the rest of the band and of the next."""
+    weights = long.groupBy("group").agg(F.count("*").alias("weight"))
+    banded = work.keep(long.join(weights, "group").withColumn("band", band(F.shiftright("place", 32), threshold)))
+    heads = banded.groupBy("token", "band").agg(F.max_by("group", F.struct("weight", "group")).alias("head"))
+    near = banded.select("token", "group", F.explode(F.array("band", F.col("band") - 1)).alias("band"))
+    return near.join(heads, ["token", "band"]).where("group <> head").select(F.col("group").alias("a"), F.col("head").alias("b"))
+
+
+def band(size, threshold: int):
+    """Size bands; sets that can be similar are in the same or in neighbouring ones (a little wider, against rounding)."""
+    return F.floor(F.log(size) / (float(np.log(100 / threshold)) * 1.0001)).cast("int")
+
+
+def list_parts(long: DataFrame, parts: DataFrame, threshold: int, work: Work) -> DataFrame:
+    """Parts of groups a, ca, b, cb that a long list holds, in different components, sizes and positions leaving room.
+
+    parts: group, comp. Both parts in the list's largest component are never paired.
+    """
+    n, position = F.shiftright("place", 32), F.col("place").bitwiseAND(0xFFFFFFFF)
+    # by its own position, a set's partner has at most `most` shingles
+    most = F.floor((n - position) * (100 + threshold) / threshold).cast("long") - n
+    rows = work.keep(long.join(parts, "group").select("token", "group", "comp", n.alias("n"), most.alias("most"), band(n, threshold).alias("band")))
+    main = rows.groupBy("token", "comp").count().groupBy("token").agg(F.max_by("comp", F.struct("count", "comp")).alias("main"))
+    rows = work.keep(rows.join(main, "token").withColumn("out", F.col("comp") != F.col("main")).drop("main"))
+    names = lambda df, g, c, n, most: df.select("token", F.col("band"), F.col("group").alias(g), F.col("comp").alias(c), F.col("n").alias(n), F.col("most").alias(most))
+    smaller = rows.where("most >= n")
+    larger = rows.withColumn("band", F.explode(F.array("band", F.col("band") - 1)))
+    fits = (F.col("ca") != F.col("cb")) & (F.col("n1") <= F.col("n2")) & (100 * F.col("n1") >= threshold * F.col("n2")) & (F.col("n2") <= F.col("m1")) & (F.col("n1") <= F.col("m2"))
+    fits = fits & ((F.col("n1") < F.col("n2")) | (F.col("a") < F.col("b")))
+    join = lambda one, two: names(one, "a", "ca", "n1", "m1").join(names(two, "b", "cb", "n2", "m2"), ["token", "band"]).where(fits).select("a", "ca", "b", "cb")
+    return join(smaller.where("out"), larger).unionByName(join(smaller.where("NOT out"), larger.where("out")))
+
+
+def link(docs: DataFrame, nodes: DataFrame, counts: DataFrame, words: int, threshold: int, short: int, hot: int, work: Work) -> DataFrame:
+    """node, root for each node that has links. docs: id, text; nodes: node, n, ranges, id; counts: key, n."""
+    frequent = docs.sparkSession.sparkContext.broadcast(frequent_shingles(counts, work))
+    lists = work.keep(list_pairs(postings(docs, frequent, words, threshold, hot), threshold, short))
+    members = work.keep(lists.where("kind = 3").select(F.col("a").alias("node"), F.col("b").alias("group")).distinct())
+    long = work.keep(lists.where("kind = 1").select(F.col("b").alias("token"), F.col("a").alias("group"), "place").distinct())
     counted = lists.where("kind = 0").groupBy("a", "b").agg(F.sum(F.expr("place div 8")).alias("lists"), F.min(F.expr("place % 8")).alias("need"))
-    posted_long = cut(lists.where("kind = 1").select(F.col("a").alias("posted")).distinct())
+    posted_long = long.select(F.col("group").alias("posted")).distinct()
     fewer = counted.where("lists < need")  # the other lists that they share may be long
     for side in ("a", "b"):
         fewer = fewer.join(posted_long, F.col(side) == F.col("posted"), "left_semi")
-    pairs = counted.where("lists >= need").unionByName(fewer).select("a", "b")
-    for side in ("a", "b"):  # groups become their members
-        pairs = pairs.join(members, pairs[side] == members["group"], "left").withColumn(side, F.coalesce("member", side)).select("a", "b")
-    pairs = pairs.union(lists.where("kind = 2").select("a", "b")).where("a <> b").select(F.least("a", "b").alias("u"), F.greatest("a", "b").alias("v"))
-    long = lists.where("kind = 1").select(F.col("b").alias("token"), F.col("a").alias("node"), "place").distinct()
-    long = long.join(members, long["node"] == members["group"], "left").select("token", F.coalesce("member", "node").alias("node"), "place").distinct()
-    # star pairs: the head of a list's size band with the rest of the band and of the next
-    size = F.shiftright("place", 32)
-    band = F.floor(F.log(size) / float(np.log(100 / threshold))).cast("int")
-    weights = long.groupBy("node").agg(F.count("*").alias("weight"))
-    banded = cut(long.join(weights, "node").withColumn("band", band))
-    heads = banded.groupBy("token", "band").agg(F.max_by("node", F.struct("weight", "node")).alias("head"))
-    near = banded.select("token", "node", F.explode(F.array("band", F.col("band") - 1)).alias("band"))
-    stars = near.join(heads, ["token", "band"]).where("node <> head").select(F.least("node", "head").alias("u"), F.greatest("node", "head").alias("v"))
-    nodes = survey_rows.where("kind = 0 AND n > 0").groupBy(F.col("key").alias("node")).agg(F.first("n").alias("n"), F.first("ranges").alias("ranges"), F.min("id").alias("id"))
-    pairs = cut(possible(pairs.unionByName(stars).distinct(), nodes, threshold))
-    sets = cut(sets_of(docs, nodes_in(pairs, nodes), words))
+    near, _ = work.sized(counted.where("lists >= need").unionByName(fewer).select("a", "b"))
+    work.drop(lists)
+    groups = work.keep(members.groupBy("group").agg(F.min("node").alias("head"), F.count("*").alias("size")))
+    many, crowded = work.sized(groups.where("size > 1"))
+    several = members.join(small(many, crowded), "group")  # of groups with more than one
+    listed = not long.isEmpty()
+    heads = near.unionByName(star_pairs(long, threshold, work)).distinct() if listed else near
+    for side, end in (("a", "u"), ("b", "v")):
+        heads = heads.join(groups.select(F.col("group").alias(side), F.col("head").alias(end)), side)
+    pairs, named, n = likely(heads.select("u", "v").unionByName(several.select(F.col("node").alias("u"), F.col("head").alias("v"))), nodes, threshold, work)
+    sets = work.keep(sets_of(docs, named, words, n))
     # one pair for each node, with its least partner, joins most of what belongs together
-    first = pairs.groupBy("v").agg(F.min("u").alias("u")).select("u", "v")
-    links = cut(verified(first, sets, threshold))
-    roots = components(links)
-    rest = across(pairs.join(first, ["u", "v"], "left_anti"), roots)
-    links = cut(links.unionByName(verified(rest, sets, threshold)))
-    if long.isEmpty():
-        return components(links)
-    roots = cut(components(links))
-    placed = long.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    main = placed.groupBy("token", "root").count().groupBy("token").agg(F.max_by("root", F.struct("count", "root")).alias("main"))
-    placed = cut(placed.join(main, "token"))
-    one = placed.where("root <> main").select("token", F.col("node").alias("u"), F.col("root").alias("r1"), F.col("place").alias("p1"))
-    two = placed.select("token", F.col("node").alias("v"), F.col("root").alias("r2"), F.col("place").alias("p2"), "main")
-    n1, n2 = F.shiftright("p1", 32), F.shiftright("p2", 32)
-    rest_of = lambda p, n: n - F.col(p).bitwiseAND(0xFFFFFFFF)
-    room = F.least(rest_of("p1", n1), rest_of("p2", n2)) * (100 + threshold) >= threshold * (n1 + n2)
-    sized = 100 * F.least(n1, n2) >= threshold * F.greatest(n1, n2)
-    cross = one.join(two, "token").where((F.col("r1") != F.col("r2")) & ((F.col("r2") == F.col("main")) | (F.col("u") < F.col("v"))) & sized & room)
-    cross = cross.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
-    cross = cut(possible(cross, nodes, threshold))
-    if cross.isEmpty():
+    first, _ = work.sized(pairs.groupBy("v").agg(F.min("u").alias("u")).select("u", "v"))
+    roots = components(work.sized(verified(first, sets, threshold))[0], work)
+    rest, more = work.sized(across(pairs.join(first, ["u", "v"], "left_anti"), roots))
+    if more:
+        roots = joined(roots, work.sized(verified(rest, sets, threshold))[0], work)
+    work.drop(sets)
+    # groups become their members, by components
+    placed = work.keep(members.join(roots, "node", "left").select("group", "node", F.coalesce("root", "node").alias("comp")))
+    parts = work.keep(placed.select("group", "comp").distinct())
+    found = [list_parts(long, parts, threshold, work)] if listed else []
+    if crowded:
+        one, two = (parts.select(F.col("group").alias(g), F.col("comp").alias(c)) for g, c in (("a", "ca"), ("b", "cb")))
+        same = parts.join(small(many, crowded), "group", "left_semi")
+        same = same.join(same.withColumnRenamed("comp", "other"), "group").where("comp < other").select(F.col("group").alias("a"), F.col("comp").alias("ca"), F.col("group").alias("b"), F.col("other").alias("cb"))
+        sizes = lambda g: small(many.select(F.col("group").alias(g), F.col("size").alias(f"size_{g}")), crowded)
+        touched = near.join(sizes("a"), "a", "left").join(sizes("b"), "b", "left").where("size_a > 1 OR size_b > 1").select("a", "b")
+        found += [same, touched.join(one, "a").join(two, "b").where("ca <> cb").select("a", "ca", "b", "cb")]
+    if not found:
+        return roots
+    wanted, more = work.sized(reduce(DataFrame.unionByName, found).distinct())
+    if not more:
         return roots
-    return components(links.unionByName(verified(cross, cut(sets_of(docs, nodes_in(cross, nodes), words)), threshold)))
+    for side, end in (("a", "u"), ("b", "v")):
+        wanted = wanted.join(placed.select(F.col("group").alias(side), F.col("comp").alias(f"c{side}"), F.col("node").alias(end)), [side, f"c{side}"])
+    pairs, named, n = likely(wanted.select("u", "v"), nodes, threshold, work)
+    if not n:
+        return roots
+    return joined(roots, work.sized(verified(pairs, work.keep(sets_of(docs, named, words, n)), threshold))[0], work)
+
+
+def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", row: str | None = None, words: int = WORDS, threshold: int = THRESHOLD, short: int = SHORT, hot: int = HOT) -> DataFrame:
+    """Per document: id, row (the key column named, or 0), n (size of its set), root (names its component; null without words)."""
+    docs = docs.select(F.col(id_col).alias("id"), (F.col(row) if row else F.lit(0)).cast("long").alias("row"), F.col(text_col).alias("text"))
+    with Work(docs.sparkSession, "jaccard") as work:
+        rows = work.keep(survey(docs, words))
+        own = rows.where("kind = 0").select("id", "row", "n", F.col("key").alias("node"), "ranges")
+        nodes = work.keep(own.where("n > 0").groupBy("node").agg(F.first("n").alias("n"), F.first("ranges").alias("ranges"), F.min("id").alias("id")))
+        roots = link(docs.select("id", "text"), nodes, rows.where("kind = 1").select("key", "n"), words, threshold, short, hot, work)
+        out = own.drop("ranges").join(roots, "node", "left")
+        return cut(out.select("id", "row", "n", F.when(F.col("n") > 0, F.coalesce("root", "node")).alias("root")))
 
 
-def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, threshold: int = THRESHOLD, short: int = SHORT) -> DataFrame:
+def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, threshold: int = THRESHOLD, short: int = SHORT, hot: int = HOT) -> DataFrame:
     """Per document: id, n_shingles, component_id (least id that links reach)."""
-    docs = docs.selectExpr(f"CAST(`{id_col}` AS long) AS id", f"`{text_col}` AS text")
-    rows = cut(survey(docs, words))
-    roots = link(docs, rows, words, threshold, short)
-    own = rows.where("kind = 0").select("id", "n", F.col("key").alias("node"))
-    least = own.where("n > 0").groupBy("node").agg(F.min("id").alias("id"))
-    named = least.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    names = named.groupBy("root").agg(F.min("id").alias("component_id"))
-    named = named.join(names, "root").select("node", "component_id")
-    out = own.join(named, "node", "left")
+    found = jaccard_classes(docs, id_col, text_col, None, words, threshold, short, hot)
+    names = found.where("n > 0").groupBy("root").agg(F.min("id").alias("component_id"))
     component = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id"))
-    return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"))
+    return found.join(names, "root", "left").select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"))

@@ -1,4 +1,8 @@
-"""Stages of the corpus pipeline. Each takes (spark, docs, sf_dir); all but the last return the columns of documents."""
+"""Stages of the corpus pipeline. Each takes (spark, docs, sf_dir); all but the last return the columns of documents.
+
+Stages decide per row, not per id: rows are told apart by their id and a hash of all their columns, so texts that
+share an id, or have none, are different documents, and rows that agree in every column are repeats of one.
+"""
 
 from __future__ import annotations
 
@@ -6,7 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import curriculum, ngram_join, pattern_packing, quality_knn
-from .common import cut, table
+from .common import Work, cut, small, table
+
+ROW = "__row"
 
 
 def classify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -15,31 +21,56 @@ def classify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return docs.withColumn("__score", score("text")).where(F.col("__score") >= 0.5).drop("__score")
 
 
+def keyed(docs: DataFrame) -> DataFrame:
+    """The rows with a hash of all their columns."""
+    return docs.withColumn(ROW, F.xxhash64(*docs.columns))
+
+
+def same_row(left: DataFrame, right: DataFrame):
+    """Ids may be null."""
+    return left["doc_id"].eqNullSafe(right["id"]) & (left[ROW] == right["row"])
+
+
+def once(docs: DataFrame, repeated: DataFrame, n: int) -> DataFrame:
+    """Keyed rows without the repeats of those in `repeated` (id, row; n of them). No other row is shuffled if they are few."""
+    if not n:
+        return docs
+    more = small(repeated, n)
+    first = docs.join(more, same_row(docs, more), "left_semi").dropDuplicates(["doc_id", ROW])
+    return docs.join(more, same_row(docs, more), "left_anti").unionByName(first)
+
+
 def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document with the least id of each group of near copies, equal rows once.
+    """Keeps one document of each group of near copies: the least id (none comes last), then the least row hash; equal rows once.
 
-    Documents without an id stay, as nothing tells them apart.
+    Documents without words link with nothing and all stay.
     """
-    found = cut(ngram_join.jaccard_components(docs))
-    # by id, so that the texts aren't shuffled by groups
-    gone = found.where("n_shingles > 0 AND doc_id <> component_id").select("doc_id").distinct()
-    first = found.where("doc_id = component_id").groupBy("doc_id").count().where("count > 1").select("doc_id")
-    rest = docs.join(gone, "doc_id", "left_anti")
-    many = rest.join(F.broadcast(first) if first.limit(100_001).count() <= 100_000 else first, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
-    if first.isEmpty():
-        return rest
-    return rest.join(first, "doc_id", "left_anti").unionByName(many)
+    rows = keyed(docs)
+    with Work(spark, "deduplicate") as work:
+        found = ngram_join.jaccard_classes(rows, row=ROW).where("n > 0")
+        first = found.groupBy("root").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "row")).alias("first"))
+        marked = work.keep(found.join(first, "root").select("id", "row", (F.col("id").eqNullSafe(F.col("first.id")) & (F.col("row") == F.col("first.row"))).alias("stays")))
+        gone, n = work.sized(marked.where("NOT stays").select("id", "row").distinct())
+        repeated, more = work.sized(marked.where("stays").groupBy("id", "row").count().where("count > 1").select("id", "row"))
+        gone, repeated = cut(gone), cut(repeated)
+    less = small(gone, n)
+    return once(rows.join(less, same_row(rows, less), "left_anti"), repeated, more).drop(ROW)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeats or drops documents as the mix takes them, sorted by training position.
 
-    Documents are taken whole. Rows of one id are taken as often as the one that is taken least.
+    Documents are taken whole; rows that agree in every column are taken as often as all of them together.
     """
-    taken = cut(curriculum.mix_sources(docs, whole=True).groupBy("doc_id").agg(F.min("copies").alias("__copies"), F.min("position").alias("__position")))
-    kept = docs.join(taken.where("__copies > 0").withColumnRenamed("doc_id", "__id"), F.col("doc_id").eqNullSafe(F.col("__id")))
-    rows = kept.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies"))))
-    return rows.orderBy("__position").select(*docs.columns)
+    rows = keyed(docs)
+    with Work(spark, "mix") as work:
+        mixed = curriculum.mix_sources(rows, whole=True, keep=(ROW,))
+        taken = work.keep(mixed.groupBy(F.col("doc_id").alias("id"), F.col(ROW).alias("row")).agg(F.sum("copies").alias("copies"), F.min("position").alias("position"), F.count("*").alias("n")))
+        repeated, more = work.sized(taken.where("n > 1 AND copies > 0").select("id", "row"))
+        taken, repeated = cut(taken.where("copies > 0").select("id", "row", "copies", "position")), cut(repeated)
+    rows = once(rows, repeated, more)
+    kept = rows.join(taken, same_row(rows, taken)).withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
+    return kept.orderBy("position").select(*docs.columns)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
