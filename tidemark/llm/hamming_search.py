@@ -1,13 +1,18 @@
 """Exact top-k search for binary codes, by incremental multi-index hashing.
 
-Vectors become codes by the signs of their dimensions, cut into segments of 16 bits. Distinct codes and
-distinct query codes are dealt out in blocks of bounded size, and each block of queries meets each block
-of codes in one task. There an index holds the codes under each of their segments. Round r probes the
-segment values at Hamming distance r from a query's own and verifies the codes found by their whole
-distance. After round r with m segments every code within m (r + 1) - 1 is found (else each segment
-would differ in more than r bits), so a query closes when its kth verified distance is no greater. The
-blocks' best are merged. Equal codes are searched once and hold their k least ids, which suffices for
-the k first by distance and id.
+Vectors become codes by the signs of their dimensions, cut into segments of 16 bits (32 where there are
+more than `MANY` distinct codes). Distinct codes stand in a table under each of their segments' values.
+Round r sends each open query to the values at Hamming distance r from its own segments: a join with that
+table by segment and value, where a code found is verified by its whole distance. A pair counts in the
+round of its nearest segment and in the first segment that is so near, so each is verified once and no
+round looks at pairs again. After round r with m segments every code within m (r + 1) - 1 is found (else
+each segment would differ in more than r bits), so a query closes when its kth verified distance is no
+greater; the others go on, and what is farther than their kth so far is left out. Equal codes are searched
+once and hold their k least ids; the first k codes by distance and least id hold the k nearest rows.
+
+A round's rows are the open queries' probes and the codes under them; nothing is sent from every code to
+every query. The index is broadcast if its counted rows are few, else it's joined by a shuffle whose large
+values Spark splits.
 
 Defined results: null vectors have no code: they are neither found nor searched; null, NaN and missing
 dimensions are 0 bits; ties in distance go by id; repeated ids count as often as they stand there; fewer
@@ -17,109 +22,102 @@ than k vectors give all of them; an empty table gives an empty result. A query f
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import combinations
+from functools import reduce
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut, kept
+from .common import Work, cut, small
 
-SEGMENT = 16
-#: Distinct codes, and distinct query codes, in a block.
-CODES = 200_000
-QUERIES = 256
-BITS = np.array([bin(i).count("1") for i in range(1 << 8)], np.uint8)
+WORD = 64
+#: Distinct codes beyond which segments have 32 bits.
+MANY = 1 << 24
 
 
-def masks() -> list[np.ndarray]:
-    """Segment masks by their number of bits."""
-    return [np.array([sum(1 << i for i in bits) for bits in combinations(range(SEGMENT), r)], np.int64) for r in range(SEGMENT + 1)]
-
-
-def sign_codes(vectors: DataFrame, segments: int) -> DataFrame:
-    """id, asked, code (bytes) of vectors that aren't null. vectors: id, asked, vector."""
+def sign_words(vectors: DataFrame, words: int) -> DataFrame:
+    """id, asked, words (the code's bits as 64-bit numbers) of vectors that aren't null. vectors: id, asked, vector."""
+    kind = dict(vectors.dtypes)["id"]
 
     def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            bits = np.zeros((len(batch), SEGMENT * segments), bool)
+            bits = np.zeros((len(batch), WORD * words), bool)
             for i, v in enumerate(batch["vector"]):
                 x = np.asarray(v, float)  # null is NaN, which isn't above 0
                 bits[i, : len(x)] = x > 0
-            yield pd.DataFrame({"id": batch["id"], "asked": batch["asked"], "code": [r.tobytes() for r in np.packbits(bits, axis=1)]})
-
-    return vectors.mapInPandas(encode, f"id {dict(vectors.dtypes)['id']}, asked boolean, code binary")
-
-
-class Index:
-    """A block of codes under each of their segments. sizes: how many rows a code stands for; first: its least id."""
-
-    def __init__(self, codes: list[bytes], sizes: np.ndarray, first: np.ndarray) -> None:
-        self.bytes = np.frombuffer(b"".join(codes), np.uint8).reshape(len(codes), -1)
-        self.segments = self.bytes.view(">u2").astype(np.int64)
-        self.sizes, self.first = sizes, first
-        self.lists = []
-        for values in self.segments.T:
-            start = np.concatenate([[0], np.cumsum(np.bincount(values, minlength=1 << SEGMENT))])
-            self.lists.append((np.argsort(values, kind="stable"), start))
-
-    def near(self, query: bytes, k: int, by_bits: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-        """The first k codes by distance and least id, which hold the k nearest rows, with their distances."""
-        own = np.frombuffer(query, np.uint8)
-        segments = own.view(">u2").astype(np.int64)
-        seen = np.zeros(len(self.bytes), bool)
-        found, far = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        for radius, mask in enumerate(by_bits):
-            for (order, start), value in zip(self.lists, segments, strict=True):
-                probe = value ^ mask
-                a, n = start[probe], start[probe + 1] - start[probe]
-                there = n > 0
-                a, n = a[there], n[there]
-                hits = order[np.repeat(a - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())] if len(n) else n
-                hits = hits[~seen[hits]]
-                seen[hits] = True
-                found = np.concatenate([found, hits])
-                far = np.concatenate([far, BITS[self.bytes[hits] ^ own].sum(1, dtype=np.int64)])
-            covered = len(segments) * (radius + 1) - 1
-            sure = far <= covered
-            if self.sizes[found[sure]].sum() >= k or len(found) == len(self.bytes):
-                break
-        # no row among the first k can belong to a later code: k least ids of other codes come before it
-        order = np.lexsort((self.first[found], far))[:k]
-        return found[order], far[order]
-
-
-def top_k(vectors: DataFrame, queries: Column, k: int = 10, id_col: str = "vec_id", vector_col: str = "embedding", codes_in_block: int = CODES, queries_in_block: int = QUERIES) -> DataFrame:
-    """query_id, rank (from 1), the id and the distance of the k nearest codes of each query."""
+            codes = np.packbits(bits, axis=1).view(">i8").astype(np.int64)
+            yield pd.DataFrame({"id": batch["id"], "asked": batch["asked"], "words": list(codes)})
+
+    return vectors.mapInPandas(encode, f"id {kind}, asked boolean, words array<long>")
+
+
+def segments_of(words: Column, bits: int, count: int) -> list[Column]:
+    """The values of a code's segments."""
+    out = []
+    for at in range(0, bits * count, bits):
+        word = F.get(words, F.lit(at // WORD))
+        out.append(F.shiftrightunsigned(word, WORD - bits - at % WORD).bitwiseAND((1 << bits) - 1))
+    return out
+
+
+def probes(asked: DataFrame, bits: int, count: int, radius: int) -> DataFrame:
+    """q, words, kth, segment, value: the values at distance `radius` of each segment of each query."""
+    out = asked.select("q", "words", "kth", F.posexplode(F.array(*segments_of(F.col("words"), bits, count))).alias("segment", "value"))
+    out = out.withColumn("top", F.lit(-1))
+    for left in range(radius, 0, -1):  # flip one more bit above the last
+        out = out.withColumn("top", F.explode(F.sequence(F.col("top") + 1, F.lit(bits - left))))
+        out = out.withColumn("value", F.col("value").bitwiseXOR(F.expr("shiftleft(1L, top)")))
+    return out.drop("top")
+
+
+def verified(hits: DataFrame, bits: int, count: int, radius: int) -> DataFrame:
+    """q, c, first, size, distance of probed codes whose nearest segment is this one. hits: probes with code and its columns."""
+    parts = [F.bit_count(a.bitwiseXOR(b)) for a, b in zip(segments_of(F.col("words"), bits, count), segments_of(F.col("code"), bits, count), strict=True)]
+    hits = hits.select("q", "c", "first", "size", "kth", "segment", *(p.alias(f"d{i}") for i, p in enumerate(parts)))
+    near = lambda i: F.when(F.col("segment") > i, F.col(f"d{i}") > radius).otherwise(F.col(f"d{i}") >= radius)
+    hits = hits.where(reduce(Column.__and__, [near(i) for i in range(count)]))
+    distance = reduce(Column.__add__, [F.col(f"d{i}") for i in range(count)])
+    hits = hits.select("q", "c", "first", "size", "kth", distance.cast("int").alias("distance"))
+    return hits.where("kth IS NULL OR distance <= kth").drop("kth")
+
+
+def nearest_codes(asked: DataFrame, codes: DataFrame, n_codes: int, k: int, bits: int, count: int, work: Work) -> DataFrame:
+    """q, c, distance: the first k codes of each query by distance and least id. asked: q, words; codes: c, code, first, size."""
+    index = work.keep(codes.select("c", "first", "size", "code", F.posexplode(F.array(*segments_of(F.col("code"), bits, count))).alias("segment", "value")))
+    index = small(index, n_codes * count)
+    best, waiting = None, asked.withColumn("kth", F.lit(None).cast("int"))
+    order = Window.partitionBy("q").orderBy("distance", "first", "c")
+    for radius in range(bits + 1):
+        found = verified(probes(waiting, bits, count, radius).join(index, ["segment", "value"]), bits, count, radius)
+        both = found if best is None else best.unionByName(found)
+        before = best
+        best, _ = work.sized(both.withColumn("place", F.row_number().over(order)).where(F.col("place") <= k).drop("place"))
+        if before is not None:
+            work.drop(before)
+        so_far = best.withColumn("rows", F.sum("size").over(order)).groupBy("q").agg(F.min(F.when(F.col("rows") >= k, F.col("distance"))).alias("kth"), F.count("*").alias("codes"))
+        covered = count * (radius + 1) - 1
+        rest = waiting.select("q", "words").join(so_far, "q", "left").where(f"(kth IS NULL OR kth > {covered}) AND coalesce(codes, 0) < {n_codes}")
+        waiting, left = work.sized(rest.select("q", "words", "kth"))
+        if not left:
+            break
+    return best
+
+
+def top_k(vectors: DataFrame, queries: Column, k: int = 10, id_col: str = "vec_id", vector_col: str = "embedding", bits: int | None = None) -> DataFrame:
+    """query_id, rank (from 1), the id and the distance of the k nearest codes of each query. bits: of a segment (8, 16 or 32)."""
     rows = vectors.select(F.col(id_col).alias("id"), F.col(vector_col).cast("array<double>").alias("vector"), F.coalesce(queries, F.lit(False)).alias("asked")).where("vector IS NOT NULL AND id IS NOT NULL")
     widest = rows.agg(F.max(F.size("vector"))).first()[0] or 1
-    rows = cut(sign_codes(rows, -(-widest // SEGMENT)))
-    nth = F.row_number().over(Window.partitionBy("code").orderBy("id"))
-    few = rows.select("code", "id").withColumn("nth", nth).where(F.col("nth") <= k)
-    distinct = cut(few.groupBy("code").agg(F.sort_array(F.collect_list("id")).alias("ids")))
-    asked = cut(rows.where("asked").select(F.col("code").alias("query")).distinct())
-    code_blocks, query_blocks = -(-distinct.count() // codes_in_block) or 1, -(-asked.count() // queries_in_block) or 1
-    deal = lambda c, n: F.pmod(F.xxhash64(c), F.lit(n)).cast("int")
-    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    left = distinct.select(deal("code", code_blocks).alias("c"), every(query_blocks).alias("q"), "code", F.size("ids").alias("size"), F.get("ids", F.lit(0)).alias("first"))
-    right = asked.select(every(code_blocks).alias("c"), deal("query", query_blocks).alias("q"), "query")
-
-    def search(codes: pd.DataFrame, asks: pd.DataFrame) -> pd.DataFrame:
-        out = []
-        if len(codes) and len(asks):
-            index = Index(codes["code"].tolist(), codes["size"].to_numpy(), codes["first"].to_numpy())
-            by_bits = kept("segment masks", masks)
-            for query in asks["query"]:
-                found, far = index.near(query, k, by_bits)
-                out += [(query, codes["code"].iat[i], int(d), int(codes["first"].iat[i])) for i, d in zip(found, far, strict=True)]
-        return pd.DataFrame(out, columns=["query", "code", "distance", "first"])
-
-    found = left.groupBy("c", "q").cogroup(right.groupBy("c", "q")).applyInPandas(search, "query binary, code binary, distance int, first long")
-    best = F.row_number().over(Window.partitionBy("query").orderBy("distance", "first"))
-    found = found.withColumn("nth", best).where(F.col("nth") <= k) if code_blocks > 1 else found
-    near = found.join(distinct, "code").select("query", "distance", F.explode("ids").alias("id"))
-    rank = F.row_number().over(Window.partitionBy("query").orderBy("distance", "id"))
-    near = cut(near.withColumn("rank", rank).where(F.col("rank") <= k))
-    each = rows.where("asked").select(F.col("id").alias("query_id"), F.col("code").alias("query"))
-    return each.join(near, "query").select("query_id", "rank", F.col("id").alias(id_col), F.col("distance").cast("int").alias("distance"))
+    with Work(vectors.sparkSession, "hamming") as work:
+        rows = work.keep(sign_words(rows, -(-widest // WORD)))
+        nth = F.row_number().over(Window.partitionBy("words").orderBy("id"))
+        few = rows.select("words", "id").withColumn("nth", nth).where(F.col("nth") <= k)
+        ids = few.groupBy(F.col("words").alias("code")).agg(F.sort_array(F.collect_list("id")).alias("ids"))
+        codes, n = work.sized(ids.select(F.monotonically_increasing_id().alias("c"), "code", "ids", F.get("ids", F.lit(0)).alias("first"), F.size("ids").alias("size")))
+        asked, _ = work.sized(rows.where("asked").select("words").distinct().select(F.monotonically_increasing_id().alias("q"), "words"))
+        bits = bits or (16 if n <= MANY else 32)
+        best = nearest_codes(asked, codes.drop("ids"), n, k, bits, -(-widest // bits), work)
+        near = best.join(codes.select("c", "ids"), "c").select("q", "distance", F.explode("ids").alias("id"))
+        near = near.withColumn("rank", F.row_number().over(Window.partitionBy("q").orderBy("distance", "id"))).where(F.col("rank") <= k)
+        each = rows.where("asked").select(F.col("id").alias("query_id"), "words").join(asked, "words").select("query_id", "q")
+        return cut(each.join(near, "q").select("query_id", "rank", F.col("id").alias(id_col), "distance"))
