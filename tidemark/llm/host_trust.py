@@ -22,7 +22,7 @@ from itertools import count
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, cut
+from .common import Work, ascii_lower, cut, small
 
 RULES = (
     ("allow", "com/"),
@@ -80,29 +80,26 @@ def personalised_pagerank(edges: DataFrame, seeds: DataFrame, damping: float = 0
     log(damping) steps at most), or for `rounds` steps where given. Each step is one join and one
     aggregation with map-side sums.
     """
-    total = edges.groupBy("src").agg(F.sum("weight").alias("total"))
-    steps = cut(edges.join(total, "src").select("src", "dst", (F.col("weight") / F.col("total")).alias("share")))
-    rank = cut(seeds.select("host", "seed", (F.col("seed") * (1 - damping)).alias("rank")))
-    moved = rank.select("host", F.col("rank").alias("step"))
-    for _ in count() if rounds is None else range(rounds):
-        moved = (
-            moved.join(steps, moved["host"] == steps["src"])
-            .groupBy(F.col("dst").alias("host"))
-            .agg((F.sum(F.col("step") * F.col("share")) * damping).alias("step"))
-        )
-        moved = cut(moved)
-        mass = moved.agg(F.sum("step")).first()[0] or 0.0
-        if mass <= 0:
-            break
-        rank = (
-            rank.unionByName(moved.select("host", F.lit(0.0).alias("seed"), F.col("step").alias("rank")))
-            .groupBy("host")
-            .agg(F.sum("seed").alias("seed"), F.sum("rank").alias("rank"))
-        )
-        rank = cut(rank)
-        if mass < tolerance:
-            break
-    return rank
+    with Work(edges.sparkSession, "rank") as work:
+        total = edges.groupBy("src").agg(F.sum("weight").alias("total"))
+        steps = work.keep(edges.join(total, "src").select("src", "dst", (F.col("weight") / F.col("total")).alias("share")))
+        rank = work.keep(seeds.select("host", "seed", (F.col("seed") * (1 - damping)).alias("rank")))
+        moved, n = work.sized(rank.select("host", F.col("rank").alias("step")))
+        for _ in count() if rounds is None else range(rounds):
+            # a hub's edges stay where they are while the hosts that pass mass on are few enough to broadcast
+            passed = small(moved, n).join(steps, moved["host"] == steps["src"])
+            before = moved
+            moved, n = work.sized(passed.groupBy(F.col("dst").alias("host")).agg((F.sum(F.col("step") * F.col("share")) * damping).alias("step")))
+            work.drop(before)
+            mass = moved.agg(F.sum("step")).first()[0] or 0.0
+            if mass <= 0:
+                break
+            both = rank.unionByName(moved.select("host", F.lit(0.0).alias("seed"), F.col("step").alias("rank")))
+            before, rank = rank, work.sized(both.groupBy("host").agg(F.sum("seed").alias("seed"), F.sum("rank").alias("rank")))[0]
+            work.drop(before)
+            if mass < tolerance:
+                break
+        return cut(rank)
 
 
 def judge_urls(pages: DataFrame, rules: Sequence[tuple[str, str]] = RULES, damping: float = 0.85) -> DataFrame:
