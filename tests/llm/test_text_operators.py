@@ -11,7 +11,7 @@ import pytest
 
 from tidemark.llm import license_scan, media_archive, pattern_packing, token_counts
 from tidemark.llm.common import table
-from tidemark.llm.tokens import byte_pairs, library
+from tidemark.llm.tokens import Ids, encode, library, pre_tokens
 
 
 def by_id(rows):
@@ -21,13 +21,22 @@ def by_id(rows):
     return out
 
 
-def test_fast_encoder_equals_the_library():
+def test_encoder_equals_the_library():
+    import public_tokenizers
+    import regex
+
     rng = random.Random(1)
-    parts = [" ", "  ", "\n", "\t", "a", "B", "é", "1", "٣", "'s", "'S", "!", "<|endoftext|>", "<|endoftext|", "\u3000", "\x1c", "\x85", "漢", "😀", "\x00", "'ll", "thinking"]
-    texts = ["".join(rng.choices(parts, k=rng.randint(0, 40))) for _ in range(3000)]
+    ascii_parts = [" ", "  ", "\n", "\t", "\r", "a", "B", "1", "'s", "'S", "'ll", "'", "!", "<|endoftext|>", "<|endoftext|", "\x1c", "\x1f", "\x0b", "\x00", "\x7f", "_", "thinking"]
+    parts = [*ascii_parts, "é", "٣", "\u3000", "\x85", "\xa0", "漢", "😀"]
+    texts = ["".join(rng.choices(p, k=rng.randint(0, 40))) for p in (parts, ascii_parts) for _ in range(3000)]
     texts += [f"a{chr(c)}1 {chr(c)}!" for c in range(0x3000) if not 0xD800 <= c < 0xE000]
+    texts += [f"{chr(a)}{chr(b)}a" for a in range(128) for b in range(128)]
+    pattern = regex.compile(public_tokenizers.PATTERN)
     for text, e in zip(texts, library().encode_batch(texts, add_special_tokens=False), strict=True):
-        assert byte_pairs().encode(text, allowed_special="all") == e.ids
+        assert encode(text).tolist() == e.ids
+        assert pre_tokens()(text) == pattern.findall(text)
+    few = Ids("byte_bpe_50k.json", 3)  # what isn't remembered is merged again
+    assert [few[p] for p in ("a", " b", "c", " thinking", "a", " thinking")][3] == few[" thinking"] and len(few) == 3
 
 
 def expected_tokens(text):

@@ -230,11 +230,13 @@ def extract_main_text(pages: DataFrame, share: float = 0.2, broadcast_hosts: int
     winners = cut(host_paths(pages, share))
     small = winners.count() <= broadcast_hosts
     host, _ = split_url(F.col("url"))
-    own = pages.select("page_id", "url", "html", host.alias("host")).join(F.broadcast(winners) if small else winners, "host", "left")
+    # ids travel as text: whole numbers with nulls would become floating point
+    own = pages.select(F.col("page_id").cast("string").alias("page_id"), "url", "html", host.alias("host")).join(F.broadcast(winners) if small else winners, "host", "left")
 
     def extract(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             texts = [extract_page(x, None if p is None else list(p)) for x, p in zip(batch["html"], batch["paths"], strict=True)]
             yield pd.DataFrame({"page_id": batch["page_id"], "url": batch["url"], "text": texts, "n_chars": [len(t) for t in texts]})
 
-    return own.select("page_id", "url", "html", "paths").mapInPandas(extract, f"page_id {kinds['page_id']}, url {kinds['url']}, text string, n_chars long")
+    rows = own.select("page_id", "url", "html", "paths").mapInPandas(extract, f"page_id string, url {kinds['url']}, text string, n_chars long")
+    return rows.withColumn("page_id", F.col("page_id").cast(kinds["page_id"]))

@@ -16,6 +16,7 @@ from collections.abc import Iterator, Mapping, Sequence
 
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from .common import kept
 
@@ -133,5 +134,6 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
             out[["first_word", "last_word"]] = out[["first_word", "last_word"]].astype("Int64")
             yield out
 
-    kind = dict(docs.dtypes)[id_col]
-    return docs.selectExpr(f"`{id_col}` AS id", f"`{text_col}` AS text").mapInPandas(scan, f"id {kind}, {SCHEMA}").withColumnRenamed("id", id_col)
+    # ids travel as text: whole numbers with nulls would become floating point
+    rows = docs.selectExpr(f"CAST(`{id_col}` AS string) AS id", f"`{text_col}` AS text").mapInPandas(scan, f"id string, {SCHEMA}")
+    return rows.withColumn("id", F.col("id").cast(dict(docs.dtypes)[id_col])).withColumnRenamed("id", id_col)

@@ -1,9 +1,10 @@
 """Media columns: payloads stored as images in archives, read back by a Spark data source.
 
-Writing: each task streams its rows into one ZIP archive of stored (uncompressed) members in a shared
-folder, each member a lossless 8-bit greyscale PNG of the padded payload. An archive appears under its
-final name, which depends on the partition only, when it is complete; a repeated task replaces it by
-equal bytes.
+Writing: each task streams its rows into ZIP archives of stored (uncompressed) members in a shared
+folder, each member a lossless 8-bit greyscale PNG of the padded payload. An archive ends before it would
+be longer than a byte range, so a range's reader sees an archive's directory once. It appears under its
+final name, which depends on the partition and its number only, when it is complete; a repeated task
+replaces it by equal bytes.
 
 Reading: the data source `media_archive` plans byte ranges over the archives of a folder. A reader takes
 the members whose local headers start in its range, by the archive's directory, and passes them on in
@@ -11,7 +12,8 @@ Arrow batches of bounded size. A member that can't be read is tried again by its
 the last try its row carries the error.
 
 Defined results: null text counts as empty; the empty payload is one row of bytes 255; repeated rows and
-ids give a member each; an empty table gives an empty result; extra columns are not read.
+ids give a member each; ids of any type, null too; an empty table gives an empty result; extra columns are
+not read.
 """
 
 from __future__ import annotations
@@ -21,17 +23,19 @@ import time
 import zipfile
 import zlib
 from collections.abc import Iterator
+from urllib.parse import quote, unquote
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
-from .common import scratch
+from .common import cut, remove, scratch
 
 ROW = 576
-RANGE_BYTES = 16 << 20
+RANGE_BYTES = 32 << 20
 BATCH_BYTES = 8 << 20
 TRIES = 3
 MEMBERS = "archive string, member string, offset long, media binary, error string"
@@ -95,7 +99,17 @@ def features(payload: bytes) -> str:
     return f"mean={samples.mean():.4f};std={samples.std():.4f};entropy={entropy:.4f};ahash={int(''.join('01'[int(b)] for b in bits), 2):016x}"
 
 
-def write_archives(docs: DataFrame, folder: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def member_name(number: int, key: str | None, size: int) -> str:
+    return f"{number:09d}_{'' if key is None else 'k' + quote(key, safe='')}_{size}.png"
+
+
+def read_name(member: str) -> tuple[str | None, int]:
+    """The id and the payload's size without padding."""
+    key, _, size = member.removesuffix(".png").partition("_")[2].rpartition("_")
+    return (unquote(key[1:]) if key else None), int(size)
+
+
+def write_archives(docs: DataFrame, folder: str, id_col: str = "doc_id", text_col: str = "text", archive_bytes: int = RANGE_BYTES) -> DataFrame:
     """Writes the archives when it is run: archive, members, bytes of each."""
 
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -103,26 +117,36 @@ def write_archives(docs: DataFrame, folder: str, id_col: str = "doc_id", text_co
 
         context = TaskContext.get()
         store, root = filesystem(folder)
-        name = f"part-{context.partitionId():07d}.zip"
-        draft = f"{root}/.{name}-{context.taskAttemptId()}"
-        members = size = 0
         store.create_dir(root, recursive=True)
-        with store.open_output_stream(draft) as stream, zipfile.ZipFile(Counted(stream), "w", zipfile.ZIP_STORED) as archive:
-            for batch in batches:
-                for key, text in zip(batch["id"], batch["text"], strict=True):
-                    raw = (text or "").encode("utf-8", "surrogatepass")
-                    media = to_png(pad(raw))
-                    info = zipfile.ZipInfo(f"{members:09d}_{'' if pd.isna(key) else int(key)}_{len(raw)}.png")
-                    archive.writestr(info, media)
-                    members += 1
-                    size += len(media)
-        if members:
+        done = 0
+        archive = stream = name = draft = None
+        members = size = 0
+
+        def end() -> pd.DataFrame:
+            archive.close()
+            stream.close()
             store.move(draft, f"{root}/{name}")
-        else:
-            store.delete_file(draft)
-        yield pd.DataFrame({"archive": [name], "members": [members], "bytes": [size]})
+            return pd.DataFrame({"archive": [name], "members": [members], "bytes": [size]})
 
-    return docs.selectExpr(f"CAST(`{id_col}` AS long) AS id", f"`{text_col}` AS text").mapInPandas(write, "archive string, members long, bytes long")
+        for batch in batches:
+            for key, text in zip(batch["id"], batch["text"], strict=True):
+                raw = (text or "").encode("utf-8", "surrogatepass")
+                media = to_png(pad(raw))
+                if archive and size + len(media) > archive_bytes:
+                    yield end()
+                    archive, done = None, done + 1
+                if not archive:
+                    name, members, size = f"part-{context.partitionId():07d}-{done:05d}.zip", 0, 0
+                    draft = f"{root}/.{name}-{context.taskAttemptId()}"
+                    stream = store.open_output_stream(draft)
+                    archive = zipfile.ZipFile(Counted(stream), "w", zipfile.ZIP_STORED)
+                archive.writestr(zipfile.ZipInfo(member_name(members, key, len(raw))), media)
+                members += 1
+                size += len(media)
+        if archive:
+            yield end()
+
+    return docs.selectExpr(f"CAST(`{id_col}` AS string) AS id", f"`{text_col}` AS text").mapInPandas(write, "archive string, members long, bytes long")
 
 
 class Counted:
@@ -221,7 +245,7 @@ def read_archives(spark: SparkSession, folder: str, **options) -> DataFrame:
 
 
 def describe_media(members: DataFrame) -> DataFrame:
-    """Per member: doc_id, sizes and digests of payload and stored form, features, error."""
+    """Per member: doc_id (as text), sizes and digests of payload and stored form, features, error."""
 
     def describe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import hashlib
@@ -230,8 +254,7 @@ def describe_media(members: DataFrame) -> DataFrame:
         for batch in batches:
             rows = []
             for member, media, error in zip(batch["member"], batch["media"], batch["error"], strict=True):
-                _, key, n = member.removesuffix(".png").rsplit("_", 2)
-                doc_id, n_bytes = (int(key) if key else None), int(n)
+                doc_id, n_bytes = read_name(member)
                 if error is None:
                     try:
                         payload = from_png(media)
@@ -242,16 +265,24 @@ def describe_media(members: DataFrame) -> DataFrame:
                     continue
                 rows.append((doc_id, n_bytes, len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-32:]), len(media), hashlib.sha256(media).hexdigest(), features(payload), None))
             out = pd.DataFrame(rows, columns=names)
-            for c in ("doc_id", "payload_bytes", "tail_crc32", "media_bytes"):
+            for c in ("payload_bytes", "tail_crc32", "media_bytes"):
                 out[c] = out[c].astype("Int64")
             yield out
 
-    return members.select("member", "media", "error").mapInPandas(describe, f"doc_id long, {FEATURES}")
+    return members.select("member", "media", "error").mapInPandas(describe, f"doc_id string, {FEATURES}")
 
 
 def media_digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", folder: str | None = None) -> DataFrame:
-    """Stores every text and describes what is read back."""
+    """Stores every text and describes what is read back; `error` says what is wrong with a member that couldn't be read.
+
+    The archives stay if a folder is named; else they go when they have been read.
+    """
     spark = docs.sparkSession
-    folder = folder or scratch(spark, "media")
-    write_archives(docs, folder, id_col, text_col).agg({"members": "sum"}).collect()
-    return describe_media(read_archives(spark, folder)).withColumnRenamed("doc_id", id_col)
+    place = folder or scratch(spark, "media")
+    write_archives(docs, place, id_col, text_col).agg({"members": "sum"}).collect()
+    found = describe_media(read_archives(spark, place))
+    found = found.withColumn("doc_id", F.col("doc_id").cast(dict(docs.dtypes)[id_col])).withColumnRenamed("doc_id", id_col)
+    if not folder:
+        found = cut(found)
+        remove(spark, place)
+    return found

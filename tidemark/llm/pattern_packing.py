@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import cut, parallelism
-from .tokens import encode
+from .tokens import id_bytes
 
 CAPACITY = 2048
 PIECES = "piece int, start long, length long, ids_crc32 long"
@@ -38,17 +38,18 @@ def pieces_of(n: int, capacity: int) -> list[tuple[int, int]]:
 
 
 def cut_documents(docs: DataFrame, id_col: str, text_col: str, capacity: int, end_id: int) -> DataFrame:
-    kind = dict(docs.dtypes)[id_col]
+    """The pieces of each document, ids as text: whole numbers with nulls would become floating point."""
 
     def tokenize(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        end = np.uint32(end_id).astype("<u4").tobytes()
         for batch in batches:
             rows = []
             for key, text in zip(batch["id"], batch["text"], strict=True):
-                ids = np.append(encode(text or ""), np.uint32(end_id)).astype("<u4")
-                rows += [(key, i, a, b - a, zlib.crc32(ids[a:b].tobytes())) for i, (a, b) in enumerate(pieces_of(len(ids), capacity))]
+                ids = id_bytes(text or "") + end
+                rows += [(key, i, a, b - a, zlib.crc32(ids[4 * a : 4 * b])) for i, (a, b) in enumerate(pieces_of(len(ids) // 4, capacity))]
             yield pd.DataFrame(rows, columns=["id", "piece", "start", "length", "ids_crc32"])
 
-    return docs.selectExpr(f"`{id_col}` AS id", f"`{text_col}` AS text").mapInPandas(tokenize, f"id {kind}, {PIECES}")
+    return docs.selectExpr(f"CAST(`{id_col}` AS string) AS id", f"`{text_col}` AS text").mapInPandas(tokenize, f"id string, {PIECES}")
 
 
 @dataclass
@@ -217,4 +218,5 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capaci
             yield batch.drop(columns="rank")
 
     ranked = rank_in_length(pieces, histogram).select("id", "piece", "start", "length", "ids_crc32", "rank")
-    return ranked.mapInPandas(lay, f"id {kind}, {PIECES}, sequence_id long, offset long").withColumnRenamed("id", id_col)
+    laid = ranked.mapInPandas(lay, f"id string, {PIECES}, sequence_id long, offset long")
+    return laid.withColumn("id", F.col("id").cast(kind)).withColumnRenamed("id", id_col)

@@ -45,7 +45,7 @@ def op8_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return media_archive.media_digests(table(spark, sf_dir, "documents")).drop("error")
+    return media_archive.media_digests(table(spark, sf_dir, "documents"))
 
 
 def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

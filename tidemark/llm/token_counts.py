@@ -20,8 +20,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, kept
-from .tokens import END, VOCABULARY, library
+from .common import cut
+from .tokens import END, library, pre_tokens
 
 #: The most pre-tokens that are broadcast.
 HEAD = 300_000
@@ -29,34 +29,27 @@ HEAD = 300_000
 HELD = 400_000
 
 
-def splitter():
-    import public_tokenizers
-    import regex
-
-    return regex.compile(public_tokenizers.PATTERN)
-
-
-def frequencies(text: str | None, pattern) -> Counter:
+def frequencies(text: str | None, split) -> Counter:
     """Pre-tokens of a text; each special string is one of its own."""
     parts = (text or "").split(END)
     out: Counter = Counter()
     for part in parts:
-        out.update(pattern.findall(part))
+        out.update(split(part))
     if len(parts) > 1:
         out[END] = len(parts) - 1
     return out
 
 
-def pre_token_counts(docs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
+def pre_token_counts(docs: DataFrame) -> DataFrame:
     """Each distinct pre-token of all texts with its occurrences and its tokens: piece, n, tokens."""
 
     def split(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        pattern, held = kept("pre-tokens", splitter), Counter()
+        split_text, held = pre_tokens(), Counter()
         for batch in batches:
             for text in batch["text"]:
                 parts = (text or "").split(END)
                 for part in parts:
-                    held.update(pattern.findall(part))  # lists are counted natively, other counters aren't
+                    held.update(split_text(part))  # lists are counted natively, other counters aren't
                 if len(parts) > 1:
                     held[END] += len(parts) - 1
                 if len(held) > HELD:
@@ -66,7 +59,7 @@ def pre_token_counts(docs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame
             yield pd.DataFrame({"piece": list(held), "n": list(held.values())})
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encoder = library(vocabulary)
+        encoder = library()
         for batch in batches:
             batch["tokens"] = [len(e) for e in encoder.encode_batch_fast(batch["piece"].tolist(), add_special_tokens=False)]
             yield batch
@@ -87,21 +80,22 @@ def head_of(counts: DataFrame, most: int) -> DataFrame:
     return counts.where(level >= (floor if floor is not None else 1 << 30)).select("piece", "tokens")
 
 
-def count_tokens(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocabulary: str = VOCABULARY, limit: int = 1024, head: int = HEAD) -> DataFrame:
+def count_tokens(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", limit: int = 1024, head: int = HEAD) -> DataFrame:
     """Per document: id, n_bytes, n_tokens, over_limit (more than `limit` tokens)."""
     kind = dict(docs.dtypes)[id_col]
-    docs = docs.selectExpr(f"`{id_col}` AS id", f"`{text_col}` AS text")
-    counts = cut(pre_token_counts(docs, vocabulary))
+    # ids travel as text: whole numbers with nulls would become floating point
+    docs = docs.selectExpr(f"CAST(`{id_col}` AS string) AS id", f"`{text_col}` AS text")
+    counts = cut(pre_token_counts(docs))
     frequent = head_of(counts, head).toPandas()
     known = docs.sparkSession.sparkContext.broadcast(dict(zip(frequent["piece"], frequent["tokens"].tolist(), strict=True)))
 
     def reduce(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        pattern, table = kept("pre-tokens", splitter), known.value
+        split_text, table = pre_tokens(), known.value
         for batch in batches:
             done, rest = [], []
             for text in batch["text"]:
                 tokens, rare = 0, []
-                for piece, n in frequencies(text, pattern).items():
+                for piece, n in frequencies(text, split_text).items():
                     each = table.get(piece)
                     if each is None:
                         rare.append({"piece": piece, "n": n})
@@ -112,16 +106,17 @@ def count_tokens(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             sizes = [0 if t is None else len(t.encode("utf-8", "surrogatepass")) for t in batch["text"]]
             yield pd.DataFrame({"id": batch["id"], "n_bytes": np.array(sizes, "int64"), "done": np.array(done, "int64"), "rest": rest})
 
-    reduced = docs.mapInPandas(reduce, f"id {kind}, n_bytes long, done long, rest array<struct<piece:string,n:long>>")
+    reduced = docs.mapInPandas(reduce, "id string, n_bytes long, done long, rest array<struct<piece:string,n:long>>")
     reduced = reduced.withColumn("row", F.monotonically_increasing_id())
     # each document also sends one entry with what is summed already, under a key that no pre-token has
     own = F.array(F.struct(F.concat(F.lit("\x00"), F.col("row")).alias("piece"), F.lit(0).cast("long").alias("n")))
     entries = reduced.select("row", "id", "n_bytes", "done", F.explode(F.concat("rest", own)).alias("e")).select(
         "row", "id", "n_bytes", "e.piece", "e.n", F.when(F.col("e.n") == 0, F.col("done")).otherwise(0).alias("done")
     )
+    lost = F.raise_error(F.lit("a pre-token has no count")).cast("long")
     summed = (
         entries.join(counts.select("piece", "tokens"), "piece", "left")
         .groupBy("row", "id", "n_bytes")
-        .agg(F.sum(F.coalesce(F.col("n") * F.col("tokens"), F.lit(0)) + F.col("done")).alias("n_tokens"))
+        .agg(F.sum(F.when(F.col("n") == 0, F.col("done")).otherwise(F.coalesce(F.col("n") * F.col("tokens"), lost))).alias("n_tokens"))
     )
-    return summed.select(F.col("id").alias(id_col), "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
+    return summed.select(F.col("id").cast(kind).alias(id_col), "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
