@@ -4,6 +4,7 @@ from collections import Counter
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 import corpus_pipeline
@@ -49,6 +50,23 @@ def test_stages_with_odd_documents(spark, odd_documents, no_documents, sf):
     assert ids == Counter([0, 1, 2, 3, 4, 7, 9, 10, None, 12, 13, 14, 15])
 
 
+def test_rows_that_share_an_id_are_decided_one_by_one(spark, sf):
+    """A row goes for its own text: (5, U) isn't lost with (5, T), and rows without an id are told apart too."""
+    t, u, v = ("the same words stand in this text %s" % x for x in ("one", "two", "three"))
+    kind = "doc_id long, text string, lang string, source string, n_chars long, id long, row long"
+    rows = [(i, x, "en", s, len(x or ""), 1, 2) for i, x, s in ((3, t, "a"), (5, t, "a"), (5, u, "b"), (5, u, "b"), (None, u, "b"), (None, v, "a"), (None, v, "a"), (7, None, "a"), (7, None, "a"))]
+    docs = spark.createDataFrame(rows, kind).repartition(3)
+    kept = stages.deduplicate(spark, docs, sf)
+    assert Counter((r["doc_id"], r["text"]) for r in kept.collect()) == Counter([(3, t), (5, u), (None, v), (7, None), (7, None)])
+    mixed = Counter((r["doc_id"], r["text"]) for r in stages.mix(spark, kept, sf).collect())
+    want = Counter()
+    for r in curriculum.mix_sources(kept.withColumn("k", F.xxhash64("text")), whole=True, keep=("k",)).join(kept.select(F.xxhash64("text").alias("k"), "text"), "k").collect():
+        want[r["doc_id"], r["text"]] += r["copies"]
+    assert mixed == +want and set(mixed) <= {(3, t), (5, u), (None, v)} and mixed[5, u] > 0
+    again = stages.mix(spark, docs.where("text IS NOT NULL"), sf)
+    assert again.columns == docs.columns and again.count() > 0
+
+
 def test_registry():
     names = set(entry.queries())
     assert {"pipeline", *queries.QUERIES} <= names

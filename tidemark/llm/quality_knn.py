@@ -95,7 +95,7 @@ class Space:
             cosines = unit(rows @ self.into) @ self.vectors.T
             k = min(neighbours, len(self.labels))
             near = np.argpartition(-cosines, k - 1, axis=1)[:, :k]
-            weight = np.maximum(np.take_along_axis(cosines, near, axis=1), 1e-3) ** sharpness
+            weight = np.maximum(np.take_along_axis(cosines, near, axis=1).astype(float), 1e-3) ** sharpness
             out[a : a + BLOCK] = np.where(there, (weight * self.labels[near]).sum(1) / weight.sum(1), 0.0)
         return out
 

@@ -28,11 +28,11 @@ def keyed(docs: DataFrame) -> DataFrame:
 
 def same_row(left: DataFrame, right: DataFrame):
     """Ids may be null."""
-    return left["doc_id"].eqNullSafe(right["id"]) & (left[ROW] == right["row"])
+    return left["doc_id"].eqNullSafe(right["__id"]) & (left[ROW] == right["__key"])
 
 
 def once(docs: DataFrame, repeated: DataFrame, n: int) -> DataFrame:
-    """Keyed rows without the repeats of those in `repeated` (id, row; n of them). No other row is shuffled if they are few."""
+    """Keyed rows without the repeats of those in `repeated` (__id, __key; n of them). No other row is shuffled if they are few."""
     if not n:
         return docs
     more = small(repeated, n)
@@ -49,9 +49,9 @@ def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     with Work(spark, "deduplicate") as work:
         found = ngram_join.jaccard_classes(rows, row=ROW).where("n > 0")
         first = found.groupBy("root").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "row")).alias("first"))
-        marked = work.keep(found.join(first, "root").select("id", "row", (F.col("id").eqNullSafe(F.col("first.id")) & (F.col("row") == F.col("first.row"))).alias("stays")))
-        gone, n = work.sized(marked.where("NOT stays").select("id", "row").distinct())
-        repeated, more = work.sized(marked.where("stays").groupBy("id", "row").count().where("count > 1").select("id", "row"))
+        marked = work.keep(found.join(first, "root").select(F.col("id").alias("__id"), F.col("row").alias("__key"), (F.col("id").eqNullSafe(F.col("first.id")) & (F.col("row") == F.col("first.row"))).alias("stays")))
+        gone, n = work.sized(marked.where("NOT stays").select("__id", "__key").distinct())
+        repeated, more = work.sized(marked.where("stays").groupBy("__id", "__key").count().where("count > 1").select("__id", "__key"))
         gone, repeated = cut(gone), cut(repeated)
     less = small(gone, n)
     return once(rows.join(less, same_row(rows, less), "left_anti"), repeated, more).drop(ROW)
@@ -65,12 +65,12 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     rows = keyed(docs)
     with Work(spark, "mix") as work:
         mixed = curriculum.mix_sources(rows, whole=True, keep=(ROW,))
-        taken = work.keep(mixed.groupBy(F.col("doc_id").alias("id"), F.col(ROW).alias("row")).agg(F.sum("copies").alias("copies"), F.min("position").alias("position"), F.count("*").alias("n")))
-        repeated, more = work.sized(taken.where("n > 1 AND copies > 0").select("id", "row"))
-        taken, repeated = cut(taken.where("copies > 0").select("id", "row", "copies", "position")), cut(repeated)
+        taken = work.keep(mixed.groupBy(F.col("doc_id").alias("__id"), F.col(ROW).alias("__key")).agg(F.sum("copies").alias("__copies"), F.min("position").alias("__position"), F.count("*").alias("n")))
+        repeated, more = work.sized(taken.where("n > 1 AND __copies > 0").select("__id", "__key"))
+        taken, repeated = cut(taken.where("__copies > 0").drop("n")), cut(repeated)
     rows = once(rows, repeated, more)
-    kept = rows.join(taken, same_row(rows, taken)).withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
-    return kept.orderBy("position").select(*docs.columns)
+    kept = rows.join(taken, same_row(rows, taken)).withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__copies"))))
+    return kept.orderBy("__position").select(*docs.columns)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
