@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm.common import scratch, table
+from tidemark.llm.common import remove, scratch, table
 from tidemark.llm.stages import classify, deduplicate, mix, pack
 
 #: Each takes (spark, docs, sf_dir); all but the last return the columns of documents.
@@ -20,9 +20,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES[:-1]:
+    """Each stage's documents go as soon as the next stage has read them."""
+    docs, before = table(spark, sf_dir, "documents"), None
+    for name, stage in STAGES:
         folder = scratch(spark, name.split()[0])
         stage(spark, docs, sf_dir).write.parquet(folder)
         docs = spark.read.parquet(folder)
-    return STAGES[-1][1](spark, docs, sf_dir)
+        if before:
+            remove(spark, before)
+        before = folder
+    return docs
