@@ -1,9 +1,15 @@
 """Extraction plans on handmade filings."""
 
+import io
+import zipfile
+from collections import Counter
+
 import pytest
 from pyspark.sql import functions as F
 
 from tidemark.plans import fund, ownership, reports, submission, thirteen_f, xbrl
+from tidemark.plans.batches import number, parse_each, whole
+from tidemark.sources import tables
 
 OWNERS = "".join(f"<reportingOwner><reportingOwnerId><rptOwnerCik>{i}</rptOwnerCik><rptOwnerName>Owner {i}</rptOwnerName></reportingOwnerId><reportingOwnerRelationship><isDirector>{i % 2}</isDirector></reportingOwnerRelationship></reportingOwner>" for i in (1, 2))
 FORM4 = """<ownershipDocument{ns}><issuer><issuerCik>0000000009</issuerCik><issuerName>X Co</issuerName><issuerTradingSymbol>X</issuerTradingSymbol></issuer>{owners}
@@ -171,3 +177,43 @@ def test_malformed_documents_give_no_rows(spark, content):
     source = docs(spark, content)
     for plan in (ownership.ownership_rows, thirteen_f.holding_rows, fund.fund_filings, xbrl.fact_rows, submission.document_rows):
         assert plan(source).count() == 0
+
+
+def test_odd_values_lose_only_their_document(spark):
+    """Scales, numbers, sections and workbooks that can't be read give no value or no row, and the other documents stay."""
+    fact = "<html><ix:nonFraction name='us-gaap:A' contextRef='c' scale='{}' sign='-'>{}</ix:nonFraction></html>"
+    odd = [fact.format("999", "5"), fact.format("-999", "5"), fact.format("3", "nan"), fact.format("x", "inf"), "<![foo[bar]]>" + fact.format("0", "7"), "<![", "<!", "\x00", fact.format("3", "2")]
+    got = {r["accession"]: r["numeric_value"] for r in parse_each(docs(spark, *odd), xbrl.facts, xbrl.FACT).collect()}
+    assert got["a4"] == -7 and got["a8"] == -2000 and got["a2"] is None and got["a3"] is None
+    assert [whole(x) for x in ("²", "+-5", "٣", "1,000", "+7", "9" * 19, "")] == [None, None, None, 1000, 7, None, None]
+    assert [number(x) for x in ("nan", "inf", "1e999", "1_0", "-2.5")] == [None, None, None, None, -2.5]
+
+    def fails(content):
+        yield {"x": "first"}
+        raise RuntimeError(content)
+
+    assert parse_each(docs(spark, "a"), fails, "x string").count() == 0
+    good = tables.build_workbook([("A", None, "US1", 0.25), (None, "c", None, 30)], [["h"]] * 4, {"k": 1, "d": None})
+    parts = zipfile.ZipFile(io.BytesIO(good))
+
+    def without(name, raw=None):
+        out = io.BytesIO()
+        with zipfile.ZipFile(out, "w") as z:
+            for n in parts.namelist():
+                if n != name or raw is not None:
+                    z.writestr(n, raw if n == name else parts.read(n))
+        return out.getvalue()
+
+    files = [good, b"PK", without("xl/workbook.xml"), without("xl/workbook.xml", "<broken"), without("xl/worksheets/sheet1.xml", "<broken"), without("xl/_rels/workbook.xml.rels"), None]
+    books = spark.createDataFrame([(f"/1998-03-31/{i}.xlsx", f) for i, f in enumerate(files)], "path string, content binary")
+    assert Counter(r["path"][12] for r in tables.constituents(books).collect()) == {"0": 1, "5": 1}
+    rows = {r["path"][12]: r for r in tables.workbook_summaries(books).collect()}
+    assert set(rows) == {"0", "5"} and rows["0"]["sheet_names"] == ["Holdings", "Metadata"] and rows["0"]["metadata"] == {"k": "1", "d": None}
+    assert (rows["0"]["data_row_count"], rows["0"]["weight_sum_percent"], rows["0"]["sample_names"], rows["0"]["file_size_bytes"]) == (2, 55.0, ["A", "None"], len(good))
+
+
+def test_index_rows_without_sequence_and_type(spark):
+    cells = "<tr><td>{}</td><td>{}</td><td><a href='/x'>{}</a></td><td>{}</td><td></td></tr>"
+    page = cells.format("&nbsp;", "all", "a.txt", "&nbsp;") + cells.format(" ", "", "", "") + cells.format("", "d", "b.htm", "8-K") + cells.format("2", "", "", "&#160;")
+    rows = submission.index_document_rows(docs(spark, page)).orderBy("position").collect()
+    assert [(r["position"], r["sequence"], r["description"], r["filename"], r["doc_type"], r["size"]) for r in rows] == [(0, None, "d", "b.htm", "8-K", None), (1, "2", None, None, None, None)]

@@ -89,6 +89,14 @@ DG_SHARES = r"(?i)(?:aggregate\s+number|number\s+of\s+shares|shares?\s+beneficia
 DG_CUSIP = r"(?i)CUSIP\s*(?:No\.?|Number)?\s*[:\s]*([A-Z0-9]{6,9})"
 DG_EVENT_DATE = r"(?i)DATE\s+OF\s+EVENT[^:]*:\s*(\w+\s+\d{1,2},?\s+\d{4}|\d{1,2}/\d{1,2}/\d{2,4}|\d{4}-\d{2}-\d{2})"
 DG_AMENDMENT = r"(?i)AMENDMENT\s+NO\.?\s*:?\s*(\d+)"
+# Labels of a fund report shown as a page, with what they tell.
+FUND_LABELS = {
+    "series id": "series_id", "seriesid": "series_id", "series name": "series_name", "seriesname": "series_name", "class id": "class_id", "classid": "class_id",
+    "report date": "report_date", "reporting period": "report_date", "reppd": "report_date", "total assets": "total_assets", "totassets": "total_assets",
+    "net assets": "net_assets", "netassets": "net_assets",
+}
+# Column names by which such a page's table of holdings is known.
+FUND_HEADINGS = ("name", "cusip", "isin", "balance", "value", "valussd", "valusd", "title", "lei")
 ACCESSION = r"\d{10}-\d{2}-\d{6}"
 ISIN = r"^[A-Z]{2}[A-Z0-9]{10}$"
 

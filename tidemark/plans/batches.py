@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+import re
 import xml.etree.ElementTree as ET
 from collections.abc import Callable, Iterable, Iterator
 
@@ -14,7 +16,7 @@ Row = dict
 def parse_each(docs: DataFrame, parse: Callable[..., Iterable[Row]], schema: str, content: str = "content", key: str = "accession", extra: tuple[str, ...] = ()) -> DataFrame:
     """Rows that `parse(content, *extra)` gives for each document, behind the document's key.
 
-    schema: the rows' columns. Documents that can't be parsed give no rows.
+    schema: the rows' columns. A document that can't be parsed, for whatever reason, gives no rows and stops nothing.
     """
     names = [x.split()[0].split(":")[0] for x in split_schema(schema)]
     kinds = dict(docs.dtypes)
@@ -25,8 +27,11 @@ def parse_each(docs: DataFrame, parse: Callable[..., Iterable[Row]], schema: str
             for values in batch.itertuples(index=False, name=None):
                 if values[1] is None:
                     continue
-                for row in parse(values[1], *values[2:]):
-                    out.append((values[0], *(row.get(n) for n in names)))
+                try:
+                    rows = list(parse(values[1], *values[2:]))
+                except Exception:  # noqa: BLE001  documents hold anything; only this one is lost
+                    continue
+                out += [(values[0], *(row.get(n) for n in names)) for row in rows]
             frame = pd.DataFrame(out, columns=[key, *names], dtype=object)
             yield frame
 
@@ -66,18 +71,20 @@ def text_at(node: ET.Element | None, *paths: str) -> str | None:
 
 
 def number(raw: str | None, drop: str = ",") -> float | None:
-    """A number without the characters in `drop`; None if it isn't one."""
+    """A finite number without the characters in `drop`; None if it isn't one."""
     if raw is None:
         return None
     raw = raw.strip().translate(str.maketrans("", "", drop))
     if "_" in raw:
         return None
     try:
-        return float(raw)
+        n = float(raw)
     except ValueError:
         return None
+    return n if math.isfinite(n) else None
 
 
 def whole(raw: str | None) -> int | None:
+    """A whole number of at most 18 digits; None if it isn't one."""
     raw = (raw or "").strip().replace(",", "")
-    return int(raw) if raw.lstrip("+-").isdigit() else None
+    return int(raw) if re.fullmatch(r"[+-]?[0-9]{1,18}", raw) else None

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import html
 import re
 from collections.abc import Iterator
 from urllib.parse import urljoin
@@ -69,22 +70,22 @@ def document_body(content: bytes | str, filename: str) -> Iterator[Row]:
 
 
 def index_rows(page: str) -> Iterator[Row]:
-    """Rows of an index page's tables with five cells or more."""
+    """Rows of an index page's tables with five cells or more and a sequence or a type; empty cells are null."""
     place = 0
     for row in re.findall(r"<tr[^>]*>(.*?)</tr>", page, re.I | re.S):
         cells = re.findall(r"<td[^>]*>(.*?)</td>", row, re.I | re.S)
         if len(cells) < 5:
             continue
         href = re.search(r"<a[^>]+href=[\"']([^\"']+)", cells[2], re.I)
-        plain = [re.sub(r"<[^>]+>", "", c).strip() for c in cells[:5]]
-        yield {"position": place, "sequence": plain[0], "description": plain[1], "href": href[1] if href else None, "filename": plain[2], "doc_type": plain[3], "size": plain[4]}
-        place += 1
+        sequence, description, filename, doc_type, size = (re.sub(r"<[^>]+>", "", c).strip() or None for c in cells[:5])
+        sequence, doc_type = (x if x and html.unescape(x).strip() else None for x in (sequence, doc_type))
+        if sequence or doc_type:
+            yield {"position": place, "sequence": sequence, "description": description, "href": href[1] if href else None, "filename": filename, "doc_type": doc_type, "size": size}
+            place += 1
 
 
 def archive_links(page: str, base: str) -> Iterator[Row]:
     """Distinct absolute links to archived documents, in their first order."""
-    import html
-
     links = (urljoin(base or "", html.unescape(h)) for h in re.findall(r"href=[\"']([^\"']+)[\"']", page, re.I))
     good = dict.fromkeys(x for x in links if "/Archives/" in x and re.search(r"\.(?:htm|html|txt|xml|xsd|xsl|pdf|jpg|jpeg|png)$", x, re.I))
     yield from ({"position": i, "link": x} for i, x in enumerate(good))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import re
 import xml.etree.ElementTree as ET
 from collections.abc import Iterator
@@ -63,8 +64,8 @@ class InlineFacts(HTMLParser):
         self.more: dict[str, tuple[list[str], str | None]] = {}
 
     def handle_starttag(self, tag: str, attrs) -> None:
-        name = tag.rpartition(":")[2]
-        if tag.startswith("ix:") and name in ("nonfraction", "nonnumeric", "continuation") and tag not in VOID:
+        prefix, _, name = tag.partition(":")
+        if prefix in ("ix", "ixt") and name in ("nonfraction", "nonnumeric", "continuation") and tag not in VOID:
             own, text = dict(attrs) | {"kind": name}, []
             self.open.append((tag, own, text))
             if name == "continuation":
@@ -85,6 +86,11 @@ class InlineFacts(HTMLParser):
         for _, _, text in self.open:
             text.append(data)
 
+    def parse_marked_section(self, i: int, report: int = 1) -> int:
+        """Marked sections of any name are skipped; the base class knows a few and fails on others."""
+        end = self.rawdata.find(">", i)
+        return end + 1 if end >= 0 else -1
+
     def text_of(self, own: dict, text: list[str]) -> str:
         """A fact's text with its continuations, each followed once."""
         parts, following, seen = ["".join(text)], own.get("continuedat"), set()
@@ -100,8 +106,10 @@ def scaled(value: str, scale: str | None, sign: str | None) -> str:
     n = value_of(value)
     if n is None or not scale and not sign:
         return value
-    if scale and re.fullmatch(r"[+-]?\d+", scale):
-        n *= 10.0 ** int(scale)
+    if scale and re.fullmatch(r"[+-]?[0-9]{1,3}", scale):
+        n *= 10.0 ** max(-300, min(300, int(scale)))
+    if not math.isfinite(n):
+        return value
     n = -abs(n) if sign == "-" else n
     return str(int(n)) if n == int(n) else str(n)
 
