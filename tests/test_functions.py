@@ -1,5 +1,7 @@
 """Column functions on golden values."""
 
+import html
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -86,3 +88,8 @@ def test_names_of_workbooks(spark):
     rows = [("https://a/x.xlsx?b", None, None, True), ("https://a", "application/vnd.openxmlformats-officedocument.spreadsheetml.sheet", None, True), ("https://a", "text/html", 'attachment; filename="H.XLSX"', True), ("https://a/x.xlsx.html", "text/html", None, False), (None, None, None, False)]
     df = spark.createDataFrame(rows, "u string, k string, d string, y boolean")
     assert all(r["x"] == r["y"] for r in df.withColumn("x", text.names_workbook(F.col("u"), F.col("k"), F.col("d"))).collect())
+
+
+@pytest.mark.parametrize("x", ["a &amp; b", "AT&ampT", "&#65;B&#x42;&#x1F600;", "&#xD800;&#999999999;", "x&no; & &;", "&szlig;&eacute;&AElig;", "&amp;lt;", "&#38;amp;", "R&D", "", "&lt&gt&nbsp;z"])
+def test_character_references(spark, x):
+    assert value(spark, text.decode_entities, x) == html.unescape(x)

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import json
+from collections.abc import Callable
+from html.entities import name2codepoint
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -59,25 +63,47 @@ def issuer_name(x: Column) -> Column:
     return squeeze(F.regexp_replace(F.upper(x), r"""[.,;:!?'"\-]""", ""))
 
 
-ENTITIES = (("&amp;", "&"), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"), ("&nbsp;", " "))
+#: HTML 4's named references, `amp;` and the like, and the few that need no semicolon.
+REFERENCES = json.dumps({f"{name};": chr(n) for name, n in name2codepoint.items()} | {"AMP;": "&", "apos;": "'", "amp": "&", "AMP": "&", "lt": "<", "gt": ">", "quot": '"', "nbsp": "\xa0"})
+REFERENCE = r"^(#[0-9]{1,9};?|#[xX][0-9a-fA-F]{1,8};?|[A-Za-z][A-Za-z0-9]{1,9};|amp|AMP|lt|gt|quot|nbsp)"
 
 
 def decode_entities(x: Column) -> Column:
-    """The common character references; `&amp;` last, so that nothing is decoded twice."""
-    for name, char in (*ENTITIES[1:], ENTITIES[0]):
-        x = F.replace(x, F.lit(name), F.lit(char))
-    return x
+    """Character references as HTML reads them, each once: all numbers, and HTML 4's names."""
+    known = F.from_json(F.lit(REFERENCES), "map<string,string>")
+    parts = F.split(x, "&")
+    # what stands behind each ampersand, with the reference in it
+    rest = F.transform(F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0))), lambda p: F.struct(p.alias("p"), F.regexp_extract(p, REFERENCE, 1).alias("r")))
 
+    def decoded(s: Column) -> Column:
+        digits = F.regexp_extract(s["r"], "([0-9a-fA-F]+)", 1)
+        digits = F.when(s["r"].rlike("^#[xX]"), digits).otherwise(F.conv(digits, 10, 16))
+        point = F.lpad(digits, 8, "0")
+        letter = F.when(point.rlike("(?i)^00(?:0[0-9a-f]|10)(?!(?<=^0000)d[89a-f])[0-9a-f]{4}$"), F.decode(F.unhex(point), "UTF-32")).otherwise("\ufffd")
+        char = F.when(s["r"].startswith("#"), letter).otherwise(F.try_element_at(known, s["r"]))
+        return F.coalesce(F.concat(char, F.substring(s["p"], F.length(s["r"]) + 1, F.length(s["p"]))), F.concat(F.lit("&"), s["p"]))
 
-def company_name(x: Column) -> Column:
-    """Name for matching: upper case, no share class, legal form, generic words or numbers."""
-    raw = F.upper(decode_entities(F.coalesce(x.cast("string"), F.lit(""))))
-    raw = F.regexp_replace(raw, r"\s*-\s*[A-Z]{1,2}\s*$", "")
+    return F.when(x.contains("&"), F.concat(F.get(parts, F.lit(0)), F.array_join(F.transform(rest, decoded), ""))).otherwise(x)
+
+
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body(value), with the value computed once however often the body names it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def normalised(raw: Column) -> Column:
+    """A decoded name in upper case, without share class, legal form, generic words or numbers."""
+    raw = F.regexp_replace(F.upper(raw), r"\s*-\s*[A-Z]{1,2}\s*$", "")
     raw = F.regexp_replace(F.replace(raw, F.lit("&"), F.lit(" AND ")), r"[^A-Z0-9]+", " ")
     words = F.filter(F.split(raw, " "), lambda w: (w != "") & ~w.isin(*fixed.GENERIC_WORDS) & ~w.rlike(r"^\d+$"))
     return F.array_join(words, " ")
 
 
+def company_name(x: Column) -> Column:
+    """Name for matching: upper case, no share class, legal form, generic words or numbers."""
+    return normalised(decode_entities(F.coalesce(x.cast("string"), F.lit(""))))
+
+
 def constituent_name(x: Column) -> Column:
     """Constituent name without par value, depositary and preferred endings."""
     for pattern in (fixed.PAR_VALUE, fixed.DEPOSITARY, fixed.PREFERRED):
@@ -87,20 +113,25 @@ def constituent_name(x: Column) -> Column:
 
 def recall_variants(x: Column) -> Column:
     """Other normalised forms of a name that widen a candidate search, as a sorted array."""
-    own = company_name(x)
-    plain = F.regexp_replace(F.upper(decode_entities(F.coalesce(x, F.lit("")))), rf"\b(?:{'|'.join(fixed.RECALL_WORDS)})\b", " ")
-    base = company_name(F.regexp_replace(plain, r"\bCLASS\s+[A-Z0-9]\b", " "))
+    table = F.create_map(*(F.lit(w) for pair in fixed.ABBREVIATIONS.items() for w in pair))
 
     def transliterated(y: Column) -> Column:
         for a, b in fixed.TRANSLITERATIONS:
             y = F.replace(y, F.lit(a), F.lit(b))
         return y
 
-    table = F.create_map(*(F.lit(w) for pair in fixed.ABBREVIATIONS.items() for w in pair))
-    expanded = lambda y: F.array_join(F.transform(F.split(y, " "), lambda w: F.coalesce(F.try_element_at(table, w), w)), " ")
-    forms = F.array(own, base, transliterated(own), transliterated(base))
-    forms = F.array_distinct(F.concat(forms, F.transform(forms, expanded)))
-    return F.array_sort(F.filter(forms, lambda v: (v != "") & (v != own)))
+    def names(raw: Column) -> Column:
+        plain = F.regexp_replace(F.upper(raw), rf"\b(?:{'|'.join(fixed.RECALL_WORDS)})\b", " ")
+        return F.array(normalised(raw), normalised(F.regexp_replace(plain, r"\bCLASS\s+[A-Z0-9]\b", " ")))
+
+    def expanded(y: Column) -> Column:
+        return F.array_join(F.transform(F.split(y, " "), lambda w: F.coalesce(F.try_element_at(table, w), w)), " ")
+
+    def widened(two: Column) -> Column:
+        forms = let(F.concat(two, F.transform(two, transliterated)), lambda f: F.array_distinct(F.concat(f, F.transform(f, expanded))))
+        return F.array_sort(F.filter(forms, lambda v: (v != "") & (v != F.get(two, F.lit(0)))))
+
+    return let(let(decode_entities(F.coalesce(x, F.lit(""))), names), widened)
 
 
 def dedup_name(x: Column) -> Column:
