@@ -1,5 +1,6 @@
 """Operators on small inputs, with properties that must hold for any."""
 
+import datetime
 import hashlib
 import zipfile
 
@@ -12,6 +13,7 @@ from tidemark.operators import archive, classify, commit, dedup, holdings, incre
 from tidemark.sources import feeds, tables
 from tidemark.streaming import jobs
 
+
 def now():
     return F.to_timestamp(F.lit("2026-01-02 00:00:00"))
 
@@ -324,3 +326,20 @@ def test_name_scores_use_variants(spark):
     names = spark.createDataFrame([(1, "x", "MUNCHENER RUCKVERSICHERUNGS"), (1, "y", "OTHER")], "company_id int, cik string, name string")
     got = {r["cik"]: r["score"] for r in resolve.best_name_scores(companies, names).collect()}
     assert got["x"] > 0.9 > got["y"]
+
+
+def test_a_watermark_holds_few_keys(spark):
+    at = datetime.datetime(2026, 1, 1)
+    feed = spark.createDataFrame([(at, f"k{i}") for i in range(20)], "accepted_at timestamp, accession string")
+    mark = spark.createDataFrame([(None, [])], "ts timestamp, boundary array<string>")
+    assert len(incremental.advance_watermark(feed, mark, most=20).first()["boundary"]) == 20
+    with pytest.raises(Exception, match="more than 19 keys"):
+        incremental.advance_watermark(feed, mark, most=19).collect()
+
+
+def test_pruned_similarity_keeps_what_reaches_the_least(spark):
+    names = ["ALPHA BETA GAMMA", "ALPHA BETA GAMA", "BETA ALPHA", "ALPHA", "GAMMA BETA ALPHA", "DELTA", "", "ALPHA BETA GAMMA DELTA", "ALPHABETAGAMMA"]
+    rows = spark.createDataFrame([(a, b) for a in names for b in names], "a string, b string")
+    for least in (0.5, 0.78, 0.95):
+        for r in rows.select(resolve.similarity(F.col("a"), F.col("b")).alias("x"), resolve.similarity(F.col("a"), F.col("b"), least).alias("y")).collect():
+            assert r["x"] == r["y"] or r["y"] <= r["x"] < least

@@ -26,14 +26,24 @@ def boundary_found(feed: DataFrame, watermark: DataFrame, ts: str = "accepted_at
     return both.agg(F.coalesce(F.bool_or(old), F.lit(False)).alias("found"))
 
 
-def advance_watermark(feed: DataFrame, watermark: DataFrame, ts: str = "accepted_at", key: str = "accession") -> DataFrame:
-    """The next watermark: the latest time and the keys at it; keys of the old boundary stay if the time does."""
+#: The most keys of one time that a watermark holds: its state is one row.
+MOST_KEYS = 1_000_000
+
+
+def advance_watermark(feed: DataFrame, watermark: DataFrame, ts: str = "accepted_at", key: str = "accession", most: int = MOST_KEYS) -> DataFrame:
+    """The next watermark: the latest time and the keys at it; keys of the old boundary stay if the time does.
+
+    The state is one row by its format, so more than `most` keys of one time are an error.
+    """
     old = watermark.select(F.col("ts").cast("timestamp").alias("ts"), F.explode_outer("boundary").alias("key"))
     rows = feed.select(F.col(ts).alias("ts"), F.col(key).cast("string").alias("key")).unionByName(old)
     latest = rows.agg(F.max("ts").alias("__max"))
     at = rows.join(F.broadcast(latest), rows["ts"] == latest["__max"])
-    out = at.groupBy(F.col("__max").alias("ts")).agg(F.array_sort(F.collect_set("key")).alias("boundary"))
-    return out
+    # keys come one by one from a distributed distinct, so that the last task sees each once and at most one too many
+    keys = at.select(F.col("__max").alias("ts"), "key").distinct().limit(most + 1)
+    out = keys.groupBy("ts").agg(F.array_sort(F.collect_set("key")).alias("boundary"), F.count("*").alias("__keys"))
+    few = F.when(F.col("__keys") > most, F.raise_error(F.lit(f"more than {most} keys share the latest time"))).otherwise(F.col("boundary"))
+    return out.select("ts", few.alias("boundary"))
 
 
 def parse_watermark(raw: Column) -> Column:

@@ -29,16 +29,21 @@ def envelopes(rows: DataFrame, subject: Column | str, key: Column, payload: dict
 
 def append_revisions(log: DataFrame, new: DataFrame) -> DataFrame:
     """New events behind the log. An event that the log has with the same payload is left out; one with
-    another payload is a revision. commit_seq goes on from the log's last, in order of created_at and id."""
+    another payload is a revision. commit_seq goes on from the log's last, in order of created_at and id.
+
+    The log needs one sequence: rows are numbered within buckets (a time and the first letters of an id, as
+    ids are digests), buckets within days, days one behind the other, so that no task orders a whole day."""
     fresh = new.dropDuplicates(["event_id", "payload_hash"]).join(log.select("event_id", "payload_hash"), ["event_id", "payload_hash"], "left_anti")
     last = log.agg(F.coalesce(F.max("commit_seq"), F.lit(0)).alias("__last"))
-    # the log needs one sequence; days are numbered apart and put one behind the other
-    day = F.substring("created_at", 1, 10)
-    fresh = fresh.withColumn("__day", day)
-    sizes = fresh.groupBy("__day").agg(F.count("*").alias("__n"))
-    before = sizes.withColumn("__before", F.sum("__n").over(Window.orderBy("__day")) - F.col("__n")).drop("__n")
-    own = F.row_number().over(Window.partitionBy("__day").orderBy("created_at", "event_id", "payload_hash"))
-    numbered = fresh.withColumn("__own", own).join(before, "__day").join(F.broadcast(last), how="cross")
+    bucket = ["created_at", "__head"]
+    fresh = fresh.withColumns({"__day": F.substring("created_at", 1, 10), "__head": F.substring("event_id", 1, 3)})
+    sizes = fresh.groupBy("__day", *bucket).agg(F.count("*").alias("__n"))
+    days = sizes.groupBy("__day").agg(F.sum("__n").alias("__n"))
+    days = days.select("__day", (F.sum("__n").over(Window.orderBy("__day")) - F.col("__n")).alias("__days"))
+    within = Window.partitionBy("__day").orderBy(*bucket)
+    before = sizes.withColumn("__before", F.sum("__n").over(within) - F.col("__n")).drop("__n").join(F.broadcast(days), "__day").withColumn("__before", F.col("__before") + F.col("__days"))
+    own = F.row_number().over(Window.partitionBy(*bucket).orderBy("event_id", "payload_hash"))
+    numbered = fresh.withColumn("__own", own).join(before.drop("__day"), bucket).join(F.broadcast(last), how="cross")
     seq = (F.col("__last") + F.col("__before") + F.col("__own")).cast("long")
     return log.unionByName(numbered.withColumn("commit_seq", seq).select(*log.columns))
 
@@ -54,9 +59,9 @@ def event_day(committed_at: Column, created_at: Column) -> Column:
 
 
 def publish(events: DataFrame, folder: str) -> None:
-    """Appends events to JSON day files, in commit order within a file."""
+    """Appends events to JSON day files, in commit order within a file; a long day is several files, one behind the other."""
     rows = events.withColumn("event_date", event_day(F.col("committed_at"), F.col("created_at")))
-    rows.repartition("event_date").sortWithinPartitions("event_date", "commit_seq").write.partitionBy("event_date").mode("append").json(folder)
+    rows.repartitionByRange("event_date", "commit_seq").sortWithinPartitions("event_date", "commit_seq").write.partitionBy("event_date").mode("append").json(folder)
 
 
 def retrieved_events(filings: DataFrame, now: Column) -> DataFrame:

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import difflib
+from collections import Counter
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -17,17 +19,40 @@ NEAREST = 20
 
 
 @F.pandas_udf(DoubleType())
-def sequence_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
-    """Similarity of two strings by their longest common blocks."""
-    return pd.Series([difflib.SequenceMatcher(None, x, y).ratio() if x and y else 0.0 for x, y in zip(a, b, strict=True)])
-
-
-def similarity(a: Column, b: Column) -> Column:
-    """Similarity of two normalised names: sequence, words in common, and a bonus if one begins the other."""
-    seq = sequence_ratio(a, b)
+def sequence_ratio(a: pd.Series, b: pd.Series, floor: pd.Series) -> pd.Series:
+    """Similarity of two strings by their longest common blocks; 0 where lengths or letters rule out `floor`."""
+    out, letters = np.zeros(len(a)), {}
+    by_right: dict[str, list[int]] = {}
+    lefts, rights, floors = a.tolist(), b.tolist(), floor.to_numpy(float, na_value=0.0)
+    for i, (x, y) in enumerate(zip(lefts, rights, strict=True)):
+        if x and y and 2 * min(len(x), len(y)) >= floors[i] * (len(x) + len(y)):
+            by_right.setdefault(y, []).append(i)
+    for y, rows in by_right.items():
+        matcher = difflib.SequenceMatcher(None, "", y)  # what it learns about its second string serves all first ones
+        for i in rows:
+            x = lefts[i]
+            if floors[i] > 0:
+                for z in (x, y):
+                    if z not in letters:
+                        letters[z] = Counter(z)
+                if 2 * (letters[x] & letters[y]).total() < floors[i] * (len(x) + len(y)):
+                    continue
+            matcher.set_seq1(x)
+            out[i] = matcher.ratio()
+    return pd.Series(out)
+
+
+def similarity(a: Column, b: Column, least: float = 0.0) -> Column:
+    """Similarity of two normalised names: sequence, words in common, and a bonus if one begins the other.
+
+    Pairs that can't reach `least` may get a lower value than theirs, which saves comparing them.
+    """
     one, two = F.array_distinct(F.split(a, " ")), F.array_distinct(F.split(b, " "))
     overlap = F.size(F.array_intersect(one, two)) / F.greatest(F.lit(1), F.least(F.size(one), F.size(two)))
     bonus = F.when(a.startswith(b) | b.startswith(a), 0.08).otherwise(0.0)
+    # a little below, so that rounding never costs a pair
+    floor = F.least(least - bonus, (least - bonus - 0.40 * overlap) / 0.60) - 1e-9 if least else F.lit(0.0)
+    seq = sequence_ratio(a, b, floor)
     near = F.least(F.lit(1.0), F.greatest(seq, 0.60 * seq + 0.40 * overlap) + bonus)
     return F.when((a == "") | (b == ""), 0.0).when(a == b, 1.0).otherwise(near)
 
@@ -55,8 +80,9 @@ def token_candidates(companies: DataFrame, entities: DataFrame, pool: int = POOL
     return hits.withColumn("place", F.row_number().over(own)).where(F.col("place") <= pool).drop("place")
 
 
-def fuzzy_candidates(companies: DataFrame, entities: DataFrame, pool: int = POOL, nearest: int = NEAREST) -> DataFrame:
-    """company_id, cik, similarity: the most similar names among the token candidates, by the best of a company's forms.
+def fuzzy_candidates(companies: DataFrame, entities: DataFrame, pool: int = POOL, nearest: int = NEAREST, least: float = 0.0) -> DataFrame:
+    """company_id, cik, similarity: the most similar names among the token candidates, by the best of a company's forms,
+    of those that are similar at all, or by `least` where given.
 
     A company none of whose words is found is compared with all entities (those that are `current`, if that is given).
     """
@@ -65,9 +91,9 @@ def fuzzy_candidates(companies: DataFrame, entities: DataFrame, pool: int = POOL
     every = entities.where("current") if "current" in entities.columns else entities
     pairs = found.unionByName(lost.crossJoin(every.select("cik").distinct()))
     rows = pairs.join(forms.select("company_id", F.explode("forms").alias("left")), "company_id").join(entities.select("cik", F.col("norm").alias("right")), "cik")
-    best = rows.withColumn("similarity", similarity(F.col("left"), F.col("right"))).groupBy("company_id", "cik").agg(F.max("similarity").alias("similarity"))
+    best = rows.withColumn("similarity", similarity(F.col("left"), F.col("right"), least)).groupBy("company_id", "cik").agg(F.max("similarity").alias("similarity"))
     own = Window.partitionBy("company_id").orderBy(F.col("similarity").desc(), F.col("cik"))
-    return best.where("similarity > 0").withColumn("place", F.row_number().over(own)).where(F.col("place") <= nearest).drop("place")
+    return best.where((F.col("similarity") > 0) & (F.col("similarity") >= least)).withColumn("place", F.row_number().over(own)).where(F.col("place") <= nearest).drop("place")
 
 
 def hint_scores(hints: DataFrame) -> DataFrame:
@@ -102,8 +128,8 @@ def gather_candidates(companies: DataFrame, entities: DataFrame, hints: DataFram
     hinted = hints.where("norm <> ''").groupBy("company_id").agg(F.collect_set("norm").alias("hinted"))
     names = entities.select("cik", "norm", "current")
     asked = hints.select(F.struct("company_id", "norm").alias("company_id"), "norm", F.col("norm").alias("name")).distinct()
-    near_hint = fuzzy_candidates(asked, names).where("similarity >= 0.85").select("company_id.company_id", "cik", "similarity")
-    fuzzy = fuzzy_candidates(companies.drop("ticker").join(hinted, "company_id", "left"), names).join(companies.select("company_id", "norm"), "company_id")
+    near_hint = fuzzy_candidates(asked, names, least=0.85).select("company_id.company_id", "cik", "similarity")
+    fuzzy = fuzzy_candidates(companies.drop("ticker").join(hinted, "company_id", "left"), names, least=0.78).join(companies.select("company_id", "norm"), "company_id")
     close = fuzzy.where(F.col("similarity") >= F.greatest(F.lit(0.78), numbers.name_threshold(F.col("norm")) - 0.12))
     rows = found(own, 0.95, "ticker", False, False)
     for more in (

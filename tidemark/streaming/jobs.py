@@ -76,7 +76,7 @@ def publish_events(stream: DataFrame, folder: str, checkpoint: str) -> Streaming
 
     def each(batch: DataFrame, number: int) -> None:
         rows = batch.dropDuplicates(["event_id", "payload_hash"]).withColumn("event_date", outbox.event_day(F.col("committed_at"), F.col("created_at")))
-        rows.repartition("event_date").sortWithinPartitions("commit_seq").write.mode("overwrite").partitionBy("event_date").json(f"{folder}/batch={number}")
+        rows.repartitionByRange("event_date", "commit_seq").sortWithinPartitions("event_date", "commit_seq").write.mode("overwrite").partitionBy("event_date").json(f"{folder}/batch={number}")
 
     return start(stream, each, checkpoint)
 
