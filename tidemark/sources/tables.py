@@ -19,13 +19,6 @@ from ..plans.batches import Row, number, parse_each
 COMPANY = "position int, cik string, ticker string, name string, aliases array<string>, isin string"
 
 
-def read_yaml(path: str):
-    import yaml
-
-    with open(path, encoding="utf-8") as f:
-        return yaml.safe_load(f)
-
-
 def companies_of(payload) -> list[dict]:
     found = payload.get("companies") if isinstance(payload, dict) else payload
     if not isinstance(found, list):
@@ -33,14 +26,26 @@ def companies_of(payload) -> list[dict]:
     return [x for x in found if isinstance(x, dict)]
 
 
+def yaml_companies(content: bytes | str) -> Iterator[Row]:
+    """The companies of a YAML text, as they're written."""
+    import yaml
+
+    for i, c in enumerate(companies_of(yaml.safe_load(content))):
+        aliases = [str(a) for a in c.get("aliases") or []]
+        texts = {n: str(c.get(n) or "").strip() for n in ("cik", "ticker", "name")}
+        yield texts | {"position": i, "aliases": aliases, "isin": str(c["isin"]) if c.get("isin") is not None else None}
+
+
+def listed_companies(files: DataFrame) -> DataFrame:
+    """Companies of YAML lists (path, content) with a CIK, ticker and name; the first of each CIK in a list."""
+    raw = parse_each(files, yaml_companies, COMPANY, key="path").withColumn("cik", text.normalize_cik(F.col("cik")))
+    return keep_first(raw.where("cik IS NOT NULL AND ticker <> '' AND name <> ''"), ["path", "cik"], [F.col("position")])
+
+
 def watchlist(spark: SparkSession, path: str) -> DataFrame:
-    """Companies of a YAML list with a CIK, ticker and name; the first of each CIK; an error if there's none."""
-    rows = [
-        (i, str(c.get("cik") or ""), str(c.get("ticker") or "").strip(), str(c.get("name") or "").strip(), [str(a) for a in c.get("aliases") or []], c.get("isin"))
-        for i, c in enumerate(companies_of(read_yaml(path)))
-    ]
-    raw = spark.createDataFrame(rows, COMPANY).withColumn("cik", text.normalize_cik(F.col("cik")))
-    good = keep_first(raw.where("cik IS NOT NULL AND ticker <> '' AND name <> ''"), ["cik"], [F.col("position")])
+    """The companies of one YAML list, read by Spark; an error if there's none."""
+    files = spark.read.text(path, wholetext=True).select(F.lit(path).alias("path"), F.col("value").alias("content"))
+    good = listed_companies(files).drop("path")
     if good.isEmpty():
         raise ValueError("no valid company")
     return good
@@ -110,35 +115,87 @@ def column_number(reference: str) -> int:
     return n - 1
 
 
-def sheet_rows(content: bytes, sheet: str | None = None) -> Iterator[list[str | None]]:
-    """Cells of a workbook's sheet (default: the first), row by row, blank rows included."""
-    with zipfile.ZipFile(io.BytesIO(content)) as z:
+def sheet_files(book: zipfile.ZipFile) -> dict[str, str]:
+    """Sheet name -> its file, in the workbook's order, by its relationships or else by its place."""
+    office = "{http://schemas.openxmlformats.org/officeDocument/2006/relationships}id"
+    targets = {}
+    if "xl/_rels/workbook.xml.rels" in book.namelist():
+        for link in ET.fromstring(book.read("xl/_rels/workbook.xml.rels")):
+            target = link.get("Target") or ""
+            targets[link.get("Id")] = target[1:] if target.startswith("/") else f"xl/{target}"
+    sheets = ET.fromstring(book.read("xl/workbook.xml")).iter(f"{SPACE}sheet")
+    return {s.get("name") or "": targets.get(s.get(office)) or f"xl/worksheets/sheet{i}.xml" for i, s in enumerate(sheets, 1)}
+
+
+def cell_value(cell: ET.Element, shared: list[str]) -> str | float | bool | None:
+    v = cell.find(f"{SPACE}v")
+    kind, text = cell.get("t"), v.text if v is not None else None
+    if kind == "inlineStr":
+        return "".join(t.text or "" for t in cell.iter(f"{SPACE}t"))
+    if kind == "s" and text is not None:
+        return shared[int(text)]
+    if kind == "b":
+        return text == "1"
+    if kind in (None, "n") and text is not None:
+        return number(text)
+    return text
+
+
+def typed_rows(content: bytes, sheet: str | None = None) -> Iterator[list[str | float | bool | None]]:
+    """Cells of a workbook's sheet (default: the first), row by row, blank rows included; numbers as numbers."""
+    with zipfile.ZipFile(io.BytesIO(content)) as book:
         shared: list[str] = []
-        if "xl/sharedStrings.xml" in z.namelist():
-            shared = ["".join(t.text or "" for t in si.iter(f"{SPACE}t")) for si in ET.fromstring(z.read("xl/sharedStrings.xml")).iter(f"{SPACE}si")]
-        names = [s.get("name") for s in ET.fromstring(z.read("xl/workbook.xml")).iter(f"{SPACE}sheet")]
-        place = names.index(sheet) + 1 if sheet in names else 1
-        root = ET.fromstring(z.read(f"xl/worksheets/sheet{place}.xml"))
+        if "xl/sharedStrings.xml" in book.namelist():
+            shared = ["".join(t.text or "" for t in si.iter(f"{SPACE}t")) for si in ET.fromstring(book.read("xl/sharedStrings.xml")).iter(f"{SPACE}si")]
+        files = sheet_files(book)
+        root = ET.fromstring(book.read(files[sheet] if sheet in files else next(iter(files.values()))))
     last = 0
     for row in root.iter(f"{SPACE}row"):
         here = int(row.get("r") or last + 1)
         for _ in range(here - last - 1):
             yield []
         last = here
-        cells: list[str | None] = []
+        cells: list[str | float | bool | None] = []
         for c in row.iter(f"{SPACE}c"):
             at = column_number(c.get("r")) if c.get("r") else len(cells)
             cells += [None] * (at + 1 - len(cells))
-            v = c.find(f"{SPACE}v")
-            if c.get("t") == "s" and v is not None:
-                cells[at] = shared[int(v.text)]
-            elif c.get("t") == "inlineStr":
-                cells[at] = "".join(t.text or "" for t in c.iter(f"{SPACE}t"))
-            else:
-                cells[at] = v.text if v is not None else None
+            cells[at] = cell_value(c, shared)
         yield cells
 
 
+def shown(value: str | float | bool | None) -> str | None:
+    """A cell as text; whole numbers without a point."""
+    return str(int(value)) if isinstance(value, float) and value == int(value) else None if value is None else str(value)
+
+
+def sheet_rows(content: bytes, sheet: str | None = None) -> Iterator[list[str | None]]:
+    """The cells of a sheet as text."""
+    return ([shown(v) for v in cells] for cells in typed_rows(content, sheet))
+
+
+def workbook_summary(content: bytes, head: int = 4, samples: int = 5) -> Iterator[Row]:
+    """What a workbook holds: sheets, holdings behind the heading with their weights in per cent, metadata."""
+    if not is_workbook(content):
+        return
+    with zipfile.ZipFile(io.BytesIO(content)) as book:
+        names = list(sheet_files(book))
+    out: Row = {"file_size_bytes": len(content), "sheet_names": names}
+    if "Holdings" in names:
+        rows = [r for i, r in enumerate(typed_rows(content, "Holdings")) if i >= head and any(v not in (None, "") for v in r[:4])]
+        weights = [float(r[3]) for r in rows if len(r) > 3 and isinstance(r[3], (int, float))]
+        total = round(sum(100 * w if w <= 1 else w for w in weights), 8) if weights else None
+        out |= {"data_row_count": len(rows), "weight_sum_percent": total, "sample_names": [str(shown(r[0])) for r in rows[:samples]]}
+    if "Metadata" in names:
+        pairs = ([*cells, None, None][:2] for cells in typed_rows(content, "Metadata"))
+        out["metadata"] = {str(shown(k)): shown(v) for k, v in pairs if k}
+    yield out
+
+
+def workbook_summaries(files: DataFrame) -> DataFrame:
+    """path and summary of workbooks read with the binaryFile source; other files have none."""
+    return parse_each(files, workbook_summary, "file_size_bytes long, sheet_names array<string>, data_row_count long, weight_sum_percent double, sample_names array<string>, metadata map<string,string>", key="path")
+
+
 def constituents_of(content: bytes, skip: int = 4) -> Iterator[Row]:
     """Rows behind a workbook's heading with an ISIN: name, cusip, isin, weight."""
     if not is_workbook(content):
@@ -156,8 +213,11 @@ def constituents(files: DataFrame) -> DataFrame:
     return rows.withColumn("as_of_date", F.coalesce(F.nullif(dates.leading_date(F.col("path")), F.lit("")), F.nullif(folder, F.lit("")), F.lit("")))
 
 
-def build_workbook(rows: list[tuple], sheets_head: list[list[str]]) -> bytes:
-    """A workbook with a "Holdings" sheet: head rows, then the rows (text or numbers; None is an empty cell)."""
+def build_workbook(rows: list[tuple], sheets_head: list[list[str]], metadata: dict | None = None) -> bytes:
+    """A workbook with a "Holdings" sheet: head rows, then the rows (text or numbers; None is an empty cell).
+
+    metadata, if given, becomes a second sheet of keys and values.
+    """
     from xml.sax.saxutils import escape
 
     def cell(at: int, line: int, v) -> str:
@@ -168,18 +228,23 @@ def build_workbook(rows: list[tuple], sheets_head: list[list[str]]) -> bytes:
             return f'<c r="{name}"><v>{v}</v></c>'
         return f'<c r="{name}" t="inlineStr"><is><t>{escape(str(v))}</t></is></c>'
 
-    lines = [*sheets_head, *rows]
-    body = "".join(f'<row r="{i}">{"".join(cell(j, i, v) for j, v in enumerate(line))}</row>' for i, line in enumerate(lines, 1))
     space, office = f'xmlns="{SPACE[1:-1]}"', "http://schemas.openxmlformats.org/officeDocument/2006/relationships"
     package = "http://schemas.openxmlformats.org/package/2006"
     main = "application/vnd.openxmlformats-officedocument.spreadsheetml"
+    sheets = {"Holdings": [*sheets_head, *rows]} | ({"Metadata": list(metadata.items())} if metadata else {})
+    numbered = list(enumerate(sheets.items(), 1))
+    overrides = "".join(f'<Override PartName="/xl/worksheets/sheet{i}.xml" ContentType="{main}.worksheet+xml"/>' for i, _ in numbered)
+    named = "".join(f'<sheet name="{name}" sheetId="{i}" r:id="r{i}"/>' for i, (name, _) in numbered)
+    links = "".join(f'<Relationship Id="r{i}" Type="{office}/worksheet" Target="worksheets/sheet{i}.xml"/>' for i, _ in numbered)
     parts = {
-        "[Content_Types].xml": f'<Types xmlns="{package}/content-types"><Default Extension="rels" ContentType="application/vnd.openxmlformats-package.relationships+xml"/><Override PartName="/xl/workbook.xml" ContentType="{main}.sheet.main+xml"/><Override PartName="/xl/worksheets/sheet1.xml" ContentType="{main}.worksheet+xml"/></Types>',
+        "[Content_Types].xml": f'<Types xmlns="{package}/content-types"><Default Extension="rels" ContentType="application/vnd.openxmlformats-package.relationships+xml"/><Override PartName="/xl/workbook.xml" ContentType="{main}.sheet.main+xml"/>{overrides}</Types>',
         "_rels/.rels": f'<Relationships xmlns="{package}/relationships"><Relationship Id="r1" Type="{office}/officeDocument" Target="xl/workbook.xml"/></Relationships>',
-        "xl/workbook.xml": f'<workbook {space} xmlns:r="{office}"><sheets><sheet name="Holdings" sheetId="1" r:id="r1"/></sheets></workbook>',
-        "xl/_rels/workbook.xml.rels": f'<Relationships xmlns="{package}/relationships"><Relationship Id="r1" Type="{office}/worksheet" Target="worksheets/sheet1.xml"/></Relationships>',
-        "xl/worksheets/sheet1.xml": f"<worksheet {space}><sheetData>{body}</sheetData></worksheet>",
+        "xl/workbook.xml": f'<workbook {space} xmlns:r="{office}"><sheets>{named}</sheets></workbook>',
+        "xl/_rels/workbook.xml.rels": f'<Relationships xmlns="{package}/relationships">{links}</Relationships>',
     }
+    for i, (_, lines) in numbered:
+        body = "".join(f'<row r="{n}">{"".join(cell(j, n, v) for j, v in enumerate(line))}</row>' for n, line in enumerate(lines, 1))
+        parts[f"xl/worksheets/sheet{i}.xml"] = f"<worksheet {space}><sheetData>{body}</sheetData></worksheet>"
     raw = io.BytesIO()
     with zipfile.ZipFile(raw, "w", zipfile.ZIP_DEFLATED) as z:
         for name, part in parts.items():
