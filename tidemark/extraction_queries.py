@@ -62,16 +62,16 @@ def extract_13dg(spark, sf_dir):
     return reports.beneficial_owners(docs).select("accession", "subject_cusip", "ownership_percent", "shares_beneficially_owned", "is_amendment", F.coalesce("amendment_number", F.lit(-1)).alias("amendment_number"), "filer_name")
 
 
-def order_xml(spark, sf_dir, line, head, tail, where="l_orderkey % 10 = 0"):
+def order_xml(spark, sf_dir, line, head, tail):
     """One XML document per order, with an element for each of its lines."""
-    lines = table(spark, sf_dir, "lineitem").where(where).select(F.col("l_orderkey").alias("accession"), F.struct("l_linenumber", "l_partkey", "l_suppkey", line.alias("x")).alias("r"))
+    lines = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("accession"), F.struct("l_linenumber", "l_partkey", "l_suppkey", line.alias("x")).alias("r"))
     lists = lines.groupBy("accession").agg(F.sort_array(F.collect_list("r")).alias("rs"))
     return lists.select("accession", F.concat(head, F.array_join(F.transform("rs", lambda r: r["x"]), ""), tail).alias("content"))
 
 
 @query("""
     SELECT l_orderkey AS accession, 'P' || l_partkey AS security_title, l_quantity AS shares, CASE WHEN l_linenumber % 2 = 0 THEN NULL ELSE l_extendedprice END AS price_per_share, l_returnflag AS transaction_code, o.owner
-    FROM lineitem, (SELECT unnest(['A', 'B']) AS owner) o WHERE l_orderkey % 10 = 0""")
+    FROM lineitem, (SELECT unnest(['A', 'B']) AS owner) o""")
 def parse_form4(spark, sf_dir):
     """Ownership documents: a row for each transaction and owner."""
     number = lambda c: F.col(c).cast("string")
@@ -88,7 +88,7 @@ def parse_form4(spark, sf_dir):
 
 
 @query("""
-    SELECT l_orderkey AS accession, '1998-03-31' AS report_period, round(sum(l_extendedprice), 2) AS total_value, count(*) AS entry_count, CAST(sum(l_quantity) AS BIGINT) AS votes FROM lineitem WHERE l_orderkey % 10 = 0 GROUP BY l_orderkey""")
+    SELECT l_orderkey AS accession, '1998-03-31' AS report_period, round(sum(l_extendedprice), 2) AS total_value, count(*) AS entry_count, CAST(sum(l_quantity) AS BIGINT) AS votes FROM lineitem GROUP BY l_orderkey""")
 def parse_13f(spark, sf_dir):
     line = F.concat(F.lit("<infoTable><nameOfIssuer>P</nameOfIssuer><value>"), F.format_number("l_extendedprice", 2), F.lit("</value><votingAuthority><Sole>"), F.col("l_quantity").cast("long").cast("string"), F.lit("</Sole></votingAuthority></infoTable>"))
     docs = order_xml(spark, sf_dir, line, F.lit("<informationTable xmlns='urn:t'><periodOfReport>03-31-1998</periodOfReport>"), F.lit("</informationTable>"))
@@ -98,7 +98,7 @@ def parse_13f(spark, sf_dir):
 
 
 @query("""
-    SELECT l_orderkey AS accession, 'P' || l_partkey AS issuer_name, l_extendedprice AS value_usd, l_discount AS coupon_rate, l_linestatus = 'F' AS is_restricted FROM lineitem WHERE l_orderkey % 10 = 0""")
+    SELECT l_orderkey AS accession, 'P' || l_partkey AS issuer_name, l_extendedprice AS value_usd, l_discount AS coupon_rate, l_linestatus = 'F' AS is_restricted FROM lineitem""")
 def parse_nport(spark, sf_dir):
     line = F.concat(
         F.lit("<invstOrSec><name>P"), F.col("l_partkey").cast("string"), F.lit("</name><valUSD>"), F.col("l_extendedprice").cast("string"), F.lit("</valUSD><isRestrictedSec>"),
@@ -110,7 +110,7 @@ def parse_nport(spark, sf_dir):
 
 @query("""
     SELECT o_orderkey AS accession, 'us-gaap:Revenue' AS concept, CASE WHEN o_orderkey % 2 = 0 THEN -round(o_totalprice * 1000, 0) ELSE round(o_totalprice * 1000, 0) END AS numeric_value, strftime(o_orderdate, '%Y-%m-%d') AS period_instant
-    FROM orders WHERE o_orderkey % 5 = 0""")
+    FROM orders""")
 def parse_inline_xbrl(spark, sf_dir):
     k = F.col("o_orderkey")
     sign = F.when(k % 2 == 0, ' sign="-"').otherwise("")
@@ -118,7 +118,7 @@ def parse_inline_xbrl(spark, sf_dir):
         F.lit('<html><xbrli:context id="c"><xbrli:period><xbrli:instant>'), F.date_format("o_orderdate", "yyyy-MM-dd"), F.lit("</xbrli:instant></xbrli:period></xbrli:context><p>about <ix:nonFraction name='us-gaap:Revenue' contextRef='c' scale='3'"),
         sign, F.lit(">"), F.format_number("o_totalprice", 2), F.lit("<br></ix:nonFraction> and <ix:nonFraction name='own:Skip' contextRef='c'>1</ix:nonFraction></p></html>"),
     )
-    docs = table(spark, sf_dir, "orders").where(k % 5 == 0).select(k.alias("accession"), content.alias("content"))
+    docs = table(spark, sf_dir, "orders").select(k.alias("accession"), content.alias("content"))
     return xbrl.fact_rows(docs).select("accession", "concept", F.round("numeric_value", 0).alias("numeric_value"), "period_instant")
 
 
@@ -183,11 +183,11 @@ def discover_manifest(spark, sf_dir):
 
 
 @query("""
-    WITH r AS (SELECT l_suppkey, l_orderkey, l_linenumber, l_partkey, l_shipdate FROM lineitem WHERE l_suppkey % 5 = 0)
+    WITH r AS (SELECT l_suppkey, l_orderkey, l_linenumber, l_partkey, l_shipdate FROM lineitem)
     SELECT lpad(CAST(l_suppkey AS VARCHAR), 10, '0') AS cik, lpad(CAST(l_orderkey AS VARCHAR), 10, '0') || '-98-' || lpad(CAST(l_partkey AS VARCHAR), 6, '0') AS accession, strftime(l_shipdate, '%Y-%m-%d') AS filing_date, 'UNKNOWN' AS form_type FROM r""")
 def unfold_submissions(spark, sf_dir):
     """Company payloads of parallel arrays, one of them short."""
-    rows = table(spark, sf_dir, "lineitem").where("l_suppkey % 5 = 0")
+    rows = table(spark, sf_dir, "lineitem")
     acc = F.concat_ws("-", F.lpad(F.col("l_orderkey").cast("string"), 10, "0"), F.lit("98"), F.lpad(F.col("l_partkey").cast("string"), 6, "0"))
     lists = rows.groupBy("l_suppkey").agg(F.collect_list(F.struct(acc.alias("a"), F.date_format("l_shipdate", "yyyy-MM-dd").alias("d"))).alias("rs"))
     recent = F.struct(F.transform("rs", lambda r: r["a"]).alias("accessionNumber"), F.transform("rs", lambda r: r["d"]).alias("filingDate"), F.array().cast("array<string>").alias("form"))
@@ -213,12 +213,12 @@ def header_resolution(spark, sf_dir):
 
 
 @query("""
-    SELECT p_partkey AS company_id, p_partkey AS cik, TRUE AS accepted FROM part WHERE p_partkey % 50 = 7""")
+    SELECT p_partkey AS company_id, p_partkey AS cik, TRUE AS accepted FROM part""")
 def entity_resolution(spark, sf_dir):
-    """Parts as companies, resolved among all parts by their ticker and name."""
+    """All parts as companies, resolved among all parts by their ticker and name."""
     rows = table(spark, sf_dir, "part").select("p_partkey", F.concat_ws(" ", "p_name", "p_brand", F.concat(F.lit("X"), F.hex("p_partkey"))).alias("name"), F.concat(F.lit("T"), "p_partkey").alias("ticker"))
     rows = resolve.normalised(rows)
-    companies = rows.where("p_partkey % 50 = 7").select(F.col("p_partkey").alias("company_id"), "norm", "ticker")
+    companies = rows.select(F.col("p_partkey").alias("company_id"), "norm", "ticker")
     entities = rows.select(F.col("p_partkey").alias("cik"), "norm", "ticker", F.lit(True).alias("current"))
     hints = companies.select("company_id", "ticker", "norm", F.lit(0.9).alias("score"))
     profiles = entities.select("cik", F.array("norm").alias("names"), F.array("ticker").alias("tickers"))
@@ -267,9 +267,9 @@ def build_events(spark, sf_dir):
 
 
 @query("""
-    SELECT l_suppkey AS id, l_orderkey AS position, CAST(l_partkey AS VARCHAR) AS isin, l_discount AS weight FROM lineitem WHERE l_linenumber = 1""")
+    SELECT l_suppkey AS id, l_orderkey AS position, CAST(l_partkey AS VARCHAR) AS isin, l_discount AS weight FROM lineitem""")
 def parse_holdings_payload(spark, sf_dir):
-    rows = table(spark, sf_dir, "lineitem").where("l_linenumber = 1")
+    rows = table(spark, sf_dir, "lineitem")
     held = F.struct(F.col("l_partkey").cast("string").alias("isin"), F.col("l_orderkey").cast("string").alias("name"), F.round(F.col("l_discount") * 100, 2).alias("weight"))
     payloads = rows.groupBy("l_suppkey").agg(F.to_json(F.struct(F.collect_list(held).alias("holdings"))).alias("json")).withColumnRenamed("l_suppkey", "id")
     got = tables.holdings_payload(payloads)

@@ -5,12 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import extraction_queries, fixed
+from . import extraction_queries, fixed, source_queries, state_queries
 from .functions import dates, digests, numbers, text
 from .operators import archive, classify, dedup, holdings, incremental, merge, outbox, resolve, retry, rollup, topk
 from .registry import ORACLE_SQL, QUERIES, query, table
 
-__all__ = ["ORACLE_SQL", "QUERIES", "extraction_queries"]
+__all__ = ["ORACLE_SQL", "QUERIES", "extraction_queries", "source_queries", "state_queries"]
 
 COMPACT = "strftime(ts, '%Y%m%d%H%M%S')"
 
@@ -186,15 +186,14 @@ def context_period_join(spark, sf_dir):
 
 @query("""
     SELECT o.o_orderkey, l.l_linenumber, l.l_partkey, coalesce(c.n, -1) AS owner FROM orders o JOIN lineitem l ON o.o_orderkey = l.l_orderkey
-    CROSS JOIN LATERAL (SELECT unnest(CASE WHEN o.o_custkey % 3 = 0 THEN [NULL] WHEN o.o_custkey % 3 = 1 THEN [o.o_custkey] ELSE [o.o_custkey, o.o_custkey + 1] END) AS n) c
-    WHERE o.o_orderstatus = 'P'""")
+    CROSS JOIN LATERAL (SELECT unnest(CASE WHEN o.o_custkey % 3 = 0 THEN [NULL] WHEN o.o_custkey % 3 = 1 THEN [o.o_custkey] ELSE [o.o_custkey, o.o_custkey + 1] END) AS n) c""")
 def owner_fanout(spark, sf_dir):
     """A row for each transaction and owner of a filing; one row without an owner where there is none."""
     c = F.col("o_custkey")
     none = F.array().cast("array<bigint>")
     owners = F.when(c % 3 == 0, none).when(c % 3 == 1, F.array(c)).otherwise(F.array(c, c + 1))
     lines = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"), "l_linenumber", "l_partkey")
-    filings = table(spark, sf_dir, "orders").where("o_orderstatus = 'P'").select("o_orderkey", owners.alias("owners"))
+    filings = table(spark, sf_dir, "orders").select("o_orderkey", owners.alias("owners"))
     return filings.join(lines, "o_orderkey").select("o_orderkey", "l_linenumber", "l_partkey", F.explode_outer("owners").alias("owner")).withColumn("owner", F.coalesce("owner", F.lit(-1)))
 
 
@@ -307,10 +306,10 @@ def outbox_lease_batch(spark, sf_dir):
 
 
 @query("""
-    WITH d AS (SELECT event_type || ':' || CAST(user_id AS VARCHAR) AS event_id, md5(props) AS payload_hash, min(strftime(ts, '%Y-%m-%d %H:%M:%S')) AS created_at FROM events WHERE event_type = 'error' GROUP BY ALL)
+    WITH d AS (SELECT event_type || ':' || CAST(user_id AS VARCHAR) AS event_id, md5(props) AS payload_hash, min(strftime(ts, '%Y-%m-%d %H:%M:%S')) AS created_at FROM events GROUP BY ALL)
     SELECT event_id, payload_hash, created_at, row_number() OVER (ORDER BY created_at, event_id, payload_hash) AS commit_seq FROM d""")
 def outbox_append_revisions(spark, sf_dir):
-    rows = table(spark, sf_dir, "events").where("event_type = 'error'")
+    rows = table(spark, sf_dir, "events")
     new = rows.select(F.concat_ws(":", "event_type", F.col("user_id").cast("string")).alias("event_id"), F.md5("props").alias("payload_hash"), F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("created_at"))
     new = new.groupBy("event_id", "payload_hash").agg(F.min("created_at").alias("created_at"))
     log = spark.createDataFrame([], "event_id string, payload_hash string, created_at string, commit_seq long")
@@ -376,7 +375,18 @@ def clean_name(spark, sf_dir):
     return table(spark, sf_dir, "part").select("p_partkey", text.constituent_name(F.concat("p_name", ending)).alias("name"))
 
 
-@query()
+SHORT_SQL = "MAP {" + ", ".join(f"'{a}': '{b}'" for a, b in fixed.ABBREVIATIONS.items()) + "}"
+TRANSLIT_SQL = "list_reduce([{x}, '" + "', '".join(f"{a}>{b}" for a, b in fixed.TRANSLITERATIONS) + "'], lambda y, r: replace(y, string_split(r, '>')[1], string_split(r, '>')[2]))"
+
+
+@query(rf"""
+    WITH n AS (SELECT p_partkey, upper(p_name) || ' Mfg Hldgs CLASS A' AS name FROM part),
+    w AS (SELECT *, regexp_replace(regexp_replace(upper(name), '\b(?:{"|".join(fixed.RECALL_WORDS)})\b', ' ', 'g'), '\bCLASS\s+[A-Z0-9]\b', ' ', 'g') AS plain FROM n),
+    o AS (SELECT p_partkey, {NORM_SQL.format(x="name", words=WORDS_SQL)} AS own, {NORM_SQL.format(x="plain", words=WORDS_SQL)} AS base FROM w),
+    f AS (SELECT p_partkey, own, [own, base, {TRANSLIT_SQL.format(x="own")}, {TRANSLIT_SQL.format(x="base")}] AS forms FROM o),
+    e AS (SELECT p_partkey, own, unnest(list_concat(forms, list_transform(forms, lambda y: array_to_string(list_transform(string_split(y, ' '), lambda t: coalesce({SHORT_SQL}[t], t)), ' ')))) AS v FROM f),
+    d AS (SELECT DISTINCT p_partkey, v FROM e WHERE v <> '' AND v <> own)
+    SELECT p_partkey, coalesce((SELECT string_agg(v, ';' ORDER BY v) FROM d WHERE d.p_partkey = n.p_partkey), '') AS variants FROM n""")
 def recall_variants(spark, sf_dir):
     name = F.concat(F.upper("p_name"), F.lit(" Mfg Hldgs CLASS A"))
     return table(spark, sf_dir, "part").select("p_partkey", F.array_join(text.recall_variants(name), ";").alias("variants"))
@@ -457,15 +467,13 @@ def html_links(spark, sf_dir):
 
 
 @query("""
-    WITH w AS (SELECT DISTINCT p_partkey, unnest(string_split(upper(p_name), ' ')) AS token FROM part WHERE p_partkey < 300),
-    q AS (SELECT DISTINCT p_partkey AS company_id, unnest(string_split(upper(p_name), ' ')) AS token FROM part WHERE p_partkey % 100 = 1),
-    h AS (SELECT company_id, p_partkey AS cik, count(*) AS hits FROM q JOIN w USING (token) GROUP BY ALL)
-    SELECT company_id, cik, hits FROM (SELECT *, row_number() OVER (PARTITION BY company_id ORDER BY hits DESC, cik) AS n FROM h) WHERE n <= 50""")
+    WITH w AS (SELECT DISTINCT p_partkey, unnest(string_split(upper(p_name || ' ' || p_brand || ' ' || p_type), ' ')) AS token FROM part),
+    h AS (SELECT q.p_partkey AS company_id, w.p_partkey AS cik, count(*) AS hits FROM w q JOIN w USING (token) GROUP BY ALL)
+    SELECT company_id, cik, hits FROM (SELECT *, row_number() OVER (PARTITION BY company_id ORDER BY hits DESC, cik) AS n FROM h) WHERE n <= 300""")
 def token_candidates(spark, sf_dir):
-    rows = table(spark, sf_dir, "part").select("p_partkey", F.upper("p_name").alias("norm"))
-    entities = rows.where("p_partkey < 300").withColumnRenamed("p_partkey", "cik")
-    companies = rows.where("p_partkey % 100 = 1").withColumnRenamed("p_partkey", "company_id")
-    return resolve.token_candidates(companies, entities, 50)
+    """Entities that share words with a company, the first 300 of each: all parts against all parts."""
+    rows = table(spark, sf_dir, "part").select("p_partkey", F.upper(F.concat_ws(" ", "p_name", "p_brand", "p_type")).alias("norm"))
+    return resolve.token_candidates(rows.withColumnRenamed("p_partkey", "company_id"), rows.withColumnRenamed("p_partkey", "cik"))
 
 
 @query()
