@@ -260,6 +260,26 @@ def test_classifier_on_held_out_labels(spark, sf_more):
         assert r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 3 == 1) and 0 <= r["score"] <= 1 and r["predicted"] == (r["score"] >= 0.5)
 
 
+def test_scores_of_the_whole_table_by_brute_force(spark, sf):
+    """Each document's score from its neighbours among all usable labels, one cosine at a time."""
+    texts = {r["doc_id"]: r["text"] for r in table(spark, sf, "documents").collect()}
+    labels = {r["doc_id"]: r["quality"] for r in table(spark, sf, "labels").collect() if zlib.crc32(str(r["doc_id"]).encode()) % 3 != 1 and r["doc_id"] in texts}
+    ids = sorted(i for i in labels if (texts[i] or "").split())
+    assert len(ids) < quality_knn.SAMPLE
+    space = quality_knn.fit_space(quality_knn.describe([texts[i] for i in ids]), np.array([labels[i] for i in ids], float))
+    known = space.vectors.astype(float)
+    for r in queries.op1_quality_classifier(spark, sf).collect():
+        row = quality_knn.describe([texts[r["doc_id"]]])[0]
+        if not row.any():
+            assert r["score"] == 0
+            continue
+        own = row @ space.into
+        cosines = [float(own @ v) / float(np.linalg.norm(own)) for v in known]
+        near = sorted(range(len(ids)), key=lambda i: -cosines[i])[: quality_knn.NEIGHBOURS]
+        weights = [max(cosines[i], 1e-3) ** 16 for i in near]
+        assert r["score"] == pytest.approx(sum(w * labels[ids[i]] for w, i in zip(weights, near, strict=True)) / sum(weights), abs=2e-3)
+
+
 def test_classifier_with_odd_inputs(spark, odd_documents, no_documents):
     kind = "doc_id long, quality int, toxic int, text string"
     labels = spark.createDataFrame([(3, 1, 0, ""), (4, 1, 0, ""), (5, 0, 0, ""), (5, 1, 0, ""), (14, 0, 0, ""), (15, 0, 0, ""), (None, 1, 0, ""), (12, None, 0, ""), (99, 1, 0, ""), (14, 0, 1, "")], kind)
@@ -349,6 +369,39 @@ def test_verdicts_of_hosts_do_not_depend_on_other_hosts(spark):
     assert blocked == {"farm.example.org", *(f"c{i}.example.org" for i in range(24)), *(f"l{i}.example.org" for i in range(1500))}
 
 
+def test_verdicts_of_planted_pages_by_brute_force(spark):
+    """Every verdict on a random web, with a hub, against rules and power iteration on a matrix."""
+    rng = np.random.default_rng(21)
+    hosts = [f"h{i}.example.{'com' if i % 9 == 0 else 'net' if i % 4 == 0 else 'org'}" for i in range(60)]
+    rows = []
+    for i, host in enumerate(hosts):
+        for page in range(int(rng.integers(1, 4))):
+            to = [hosts[int(t)] for t in rng.integers(0, 60, rng.integers(0, 4))] + (["h0.example.com"] if i % 2 else []) + (["h4.example.net"] if i % 3 == 0 else [])
+            rows.append((len(rows), f"https://{host}/{('es', 'en', 'fr')[page]}/x", "".join(f"<a href='http://{t}/'>x</a>" for t in to), to))
+    judged = [brute_rule(url)[2] for _, url, _, _ in rows]
+    n, at = len(hosts), {h: i for i, h in enumerate(hosts)}
+    links, seeds = np.zeros((n, n)), {"allow": np.zeros(n), "block": np.zeros(n)}
+    pages = Counter(url.split("/")[2] for _, url, _, _ in rows)
+    for (_, url, _, to), best in zip(rows, judged, strict=True):
+        i = at[url.split("/")[2]]
+        for t in to:
+            links[i, at[t]] += at[t] != i
+        if best:
+            seeds[best[0]][i] += 1 / pages[hosts[i]]
+
+    def spread(weights, seed):
+        share = weights / np.maximum(weights.sum(1, keepdims=True), 1e-12)
+        rank, step = np.zeros(n), 0.15 * seed
+        while step.sum() > 1e-12:
+            rank, step = rank + step, 0.85 * share.T @ step
+        return rank
+
+    trust, distrust = spread(links, seeds["allow"]), spread(links.T, seeds["block"]) - 0.15 * seeds["block"]
+    want = {i: best[0] if best else "block" if distrust[at[url.split("/")[2]]] > trust[at[url.split("/")[2]]] else "allow" for (i, url, _, _), best in zip(rows, judged, strict=True)}
+    got = {r["page_id"]: r["verdict"] for r in host_trust.judge_urls(spark.createDataFrame([r[:3] for r in rows], "page_id long, url string, html string")).collect()}
+    assert got == want and {want[i] for i, best in enumerate(judged) if not best} == {"allow", "block"}
+
+
 def test_pagerank_equals_power_iteration(spark):
     rng = np.random.default_rng(9)
     n = 12
@@ -385,6 +438,13 @@ def test_page_extraction(shell):
     assert html_consensus.extract_page(shell % ARTICLE, None) == TEXT
 
 
+def test_heading_and_lead_beside_the_paragraphs_stay():
+    long = "<p>" + "A sentence, and another one. " * 6 + "</p>"
+    page = f'<body><div class="page"><div class="post"><h1>Title</h1><div class="lead"><p>The lead, short.</p></div><div class="body">{long * 5}</div></div><div class="links">{"<p><a href=x>some other story here</a></p>" * 9}</div></div></body>'
+    want = ["Title", "The lead, short.", *[" ".join(["A sentence, and another one."] * 6)] * 5]
+    assert html_consensus.extract_page(page, None).split("\n") == want
+
+
 def test_marked_words_within_a_line_stay():
     page = '<article><p>One <span class="search-hit">two</span> <em class="notice">three</em><span class="ad-slot">buy</span>.</p><div class="notice">no</div></article>'
     assert html_consensus.extract_page(page, None) == "One two three."

@@ -1,15 +1,17 @@
 """Token counts, packing, license scans and media columns against brute force, with odd inputs."""
 
 import hashlib
+import math
 import random
 import re
+import zipfile
 import zlib
 from collections import Counter
 
 import numpy as np
 import pytest
 
-from tidemark.llm import license_scan, media_archive, pattern_packing, token_counts
+from tidemark.llm import license_scan, media_archive, pattern_packing, queries, token_counts
 from tidemark.llm.common import table
 from tidemark.llm.tokens import Ids, encode, library, pre_tokens
 
@@ -170,6 +172,26 @@ def test_fuzzy_search_finds_what_brute_force_finds():
         assert got == {label for n, label in notices.items() if brute_distance(n.encode(), line) <= 3}
 
 
+def test_labels_of_the_table_by_plain_search(spark, sf):
+    """Labels and scores against the regex library's own search of every notice in whole texts."""
+    found = license_scan.matchers(license_scan.NOTICES, license_scan.EDITS)
+    docs = {r["doc_id"]: r["text"] for r in table(spark, sf, "documents").collect()}
+    several = 0
+    for r in queries.op4_license_scans(spark, sf).collect():
+        line = b" " + b" ".join(license_scan.words_of(docs[r["doc_id"]])) + b" "
+        base = {label for phrase, label in license_scan.PHRASES.items() if b" " + phrase.encode() + b" " in line}
+        labels, score = set(base), 1.0 if base else 0.0
+        for notice, label, _, pattern in found:
+            edits = [sum(m.fuzzy_counts) for m in pattern.finditer(line, overlapped=False)]
+            if edits:
+                labels.add(label)
+                score = max(score, 1 - min(edits) / len(notice))
+        assert r["base_labels"] == ",".join(sorted(base)) and r["labels"] == ",".join(sorted(labels))
+        assert r["score"] == pytest.approx(score)
+        several += bool(labels)
+    assert several
+
+
 def padded(text):
     raw = (text or "").encode()
     return raw + b"\xff" * ((576 - len(raw) % 576) % 576 or (0 if raw else 576))
@@ -186,6 +208,40 @@ def test_media_round_trip(spark, odd_documents, no_documents, tmp_path):
     assert media_archive.media_digests(no_documents, folder=str(tmp_path / "b")).count() == 0
 
 
+def test_stored_form_and_features_by_brute_force(spark, sf, tmp_path):
+    """Digests of the members as they lie in the archives, and features from the samples in plain Python."""
+    folder = tmp_path / "f"
+    docs = table(spark, sf, "documents")
+    rows = {r["doc_id"]: r for r in media_archive.media_digests(docs, folder=str(folder)).collect()}
+    texts = {r["doc_id"]: r["text"] for r in docs.collect()}
+    assert set(rows) == set(texts)
+    stored = {}
+    for path in folder.glob("*.zip"):
+        with zipfile.ZipFile(path) as z:
+            for info in z.infolist():
+                key, _ = media_archive.read_name(info.filename)
+                stored[int(key)] = z.read(info)
+    for key, text in texts.items():
+        r, media, payload = rows[key], stored[key], padded(text)
+        assert (r["media_bytes"], r["media_sha256"]) == (len(media), hashlib.sha256(media).hexdigest())
+        mean = sum(payload) / len(payload)
+        deviation = (sum((x - mean) ** 2 for x in payload) / len(payload)) ** 0.5
+        entropy = -sum(n / len(payload) * math.log2(n / len(payload)) for n in Counter(payload).values())
+        found = dict(x.split("=") for x in r["feature"].split(";"))
+        assert abs(float(found["mean"]) - mean) < 1e-3 and abs(float(found["std"]) - deviation) < 1e-3 and abs(float(found["entropy"]) - entropy) < 1e-3
+        assert len(found["ahash"]) == 16
+    assert {media_archive.read_name(media_archive.member_name(3, k, 5)) for k in (None, "", "a_b/é_", "7")} == {(None, 5), ("", 5), ("a_b/é_", 5), ("7", 5)}
+
+
+def test_archives_end_with_their_range(spark, sf, tmp_path):
+    docs = table(spark, sf, "documents")
+    folder = str(tmp_path / "g")
+    made = media_archive.write_archives(docs.coalesce(1), folder, archive_bytes=50_000).collect()
+    assert len(made) > 5 and sum(r["members"] for r in made) == docs.count() and all(r["bytes"] <= 50_000 or r["members"] == 1 for r in made)
+    rows = media_archive.describe_media(media_archive.read_archives(spark, folder)).collect()
+    assert Counter(r["payload_sha256"] for r in rows) == Counter(hashlib.sha256(padded(d["text"])).hexdigest() for d in docs.collect())
+
+
 def test_every_member_is_in_one_range(spark, odd_documents, tmp_path):
     folder = str(tmp_path / "c")
     media_archive.write_archives(odd_documents, folder).collect()

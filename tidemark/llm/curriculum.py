@@ -9,7 +9,7 @@ documents are range-sorted by position. Words before a document come from two le
 of the order and rows of a bucket, so that a source with a third of all rows is spread over many tasks.
 
 Defined results: null and empty texts have size 0 and are never taken; a null source is a source of its
-own, the last; null ids order first within their source; repeated rows are mixed each; equal order keys
+own, the last; rows without an id are ordered by a hash of their text; repeated rows are mixed each; equal order keys
 go by id; an empty table gives an empty result; reruns agree. More than `MAX_SOURCES` sources are an error.
 """
 
@@ -77,8 +77,9 @@ def measure(docs: DataFrame, id_col: str, text_col: str, source_col: str, keep:
             yield batch.drop(columns="text")
 
     # ids travel as text: whole numbers with nulls would become floating point
-    rows = docs.selectExpr(f"CAST(`{id_col}` AS string) AS id", f"`{source_col}` AS source", *(f"`{c}`" for c in keep), f"`{text_col}` AS text")
-    return rows.mapInPandas(words, f"id string, source string{extra}, size long").withColumn("id", F.col("id").cast(kinds[id_col]))
+    other = f"CASE WHEN `{id_col}` IS NULL THEN md5(coalesce(`{text_col}`, '')) END AS other"  # rows without an id go by their text
+    rows = docs.selectExpr(f"CAST(`{id_col}` AS string) AS id", other, f"`{source_col}` AS source", *(f"`{c}`" for c in keep), f"`{text_col}` AS text")
+    return rows.mapInPandas(words, f"id string, other string, source string{extra}, size long").withColumn("id", F.col("id").cast(kinds[id_col]))
 
 
 def mix_sources(
@@ -114,8 +115,8 @@ def mix_sources(
         "s int, source string, source_size long, target double, demand long, buckets long",
     )
     known = known.withColumnRenamed("source", "known")
-    key = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("id").cast("string"), F.lit(""))))
-    keyed = rows.join(F.broadcast(known), F.col("source").eqNullSafe(F.col("known"))).drop("source", "known").withColumn("key", key)
+    key = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("id").cast("string"), F.col("other"))))
+    keyed = rows.join(F.broadcast(known), F.col("source").eqNullSafe(F.col("known"))).drop("source", "known").withColumn("key", key).drop("other")
     # buckets are ranges of the order, as the key's first eight digits are a number
     bucket = F.floor(F.conv(F.substring("key", 1, 8), 16, 10).cast("long") * F.col("buckets") / F.lit(2.0**32))
     keyed = keyed.withColumn("bucket", bucket)
@@ -140,7 +141,7 @@ def mix_sources(
     # NaN would sort last and stay NaN: untaken rows get null
     timed = timed.withColumn("position", F.when(F.col("taken") > 0, F.round("position", 6)))
     # the hash parts the rows that have no position
-    return timed.withColumnRenamed("id", id_col).orderBy(F.col("position").asc_nulls_last(), F.xxhash64(id_col))
+    return timed.withColumnRenamed("id", id_col).orderBy(F.col("position").asc_nulls_last(), F.xxhash64(id_col, "size"))
 
 
 def timing(schedules: Sequence[Sequence[tuple[float, float]]]) -> Callable:

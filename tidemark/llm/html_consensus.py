@@ -189,9 +189,26 @@ def container_scores(blocks: list[tuple[str, str, str, int]]) -> dict[str, float
     return scores
 
 
+def climb(blocks: list[tuple[str, str, str, int]], path: str) -> str:
+    """The container around the best one, as long as what else it holds is less, and text rather than links: a heading
+    or a lead that stands beside the paragraphs. Bodies are never taken."""
+    while (parent := path.rpartition(">")[0]) and parent.rpartition(">")[2].partition(".")[0] not in ("body", "html"):
+        under = [b for b in blocks if b[1] == parent or b[1].startswith(f"{parent}>")]
+        own = sum(len(line) for line, at, _, _ in under if at == path or at.startswith(f"{path}>"))
+        others = [b for b in under if b[1] != path and not b[1].startswith(f"{path}>")]
+        size = sum(len(b[0]) for b in others)
+        if size > own or sum(b[3] for b in others) > 0.3 * size:
+            break
+        path = parent
+    return path
+
+
 def best_path(blocks: list[tuple[str, str, str, int]]) -> str | None:
     scores = container_scores(blocks)
-    return max(scores, key=lambda p: (scores[p], -len(p), p)) if scores else None
+    if not scores:
+        return None
+    best = max(scores, key=lambda p: (scores[p], -len(p), p))
+    return best if any(inside == best for _, inside, parent, _ in blocks if not parent) else climb(blocks, best)
 
 
 def text_at(blocks: list[tuple[str, str, str, int]], paths: list[str]) -> str:

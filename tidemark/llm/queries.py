@@ -72,7 +72,7 @@ ORACLE_SQL: dict[str, str] = {
     "op6_mixing_sources": r"""
         WITH sized AS (
           SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
-                 md5('mix:' || coalesce(doc_id::VARCHAR, '')) AS key
+                 md5('mix:' || coalesce(doc_id::VARCHAR, md5(coalesce(text, '')))) AS key
           FROM documents),
         sources AS (
           SELECT *, CASE s % 3 WHEN 0 THEN 5.0::DOUBLE WHEN 1 THEN 2.0::DOUBLE ELSE 1.0::DOUBLE END AS weight
