@@ -29,11 +29,13 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import Work, cut, small
+from .common import Work, cut
 
 WORD = 64
 #: Distinct codes beyond which segments have 32 bits.
 MANY = 1 << 24
+#: The most rows of the index (some 100 bytes each) that are broadcast.
+INDEX_ROWS = 400_000
 
 
 def sign_words(vectors: DataFrame, words: int) -> DataFrame:
@@ -85,7 +87,8 @@ def verified(hits: DataFrame, bits: int, count: int, radius: int) -> DataFrame:
 def nearest_codes(asked: DataFrame, codes: DataFrame, n_codes: int, k: int, bits: int, count: int, work: Work) -> DataFrame:
     """q, c, distance: the first k codes of each query by distance and least id. asked: q, words; codes: c, code, first, size."""
     index = work.keep(codes.select("c", "first", "size", "code", F.posexplode(F.array(*segments_of(F.col("code"), bits, count))).alias("segment", "value")))
-    index = small(index, n_codes * count)
+    # probes are never broadcast: Spark takes the few queries that they are made from for their number
+    index = F.broadcast(index) if n_codes * count <= INDEX_ROWS else index.hint("merge")
     best, waiting = None, asked.withColumn("kth", F.lit(None).cast("int"))
     order = Window.partitionBy("q").orderBy("distance", "first", "c")
     for radius in range(bits + 1):
