@@ -116,8 +116,7 @@ def judge_urls(pages: DataFrame, rules: Sequence[tuple[str, str]] = RULES, dampi
     hosts = cut(
         urls.where(F.col("host") != "")
         .groupBy("host")
-        .agg(F.avg((F.col("ruled") == "allow").cast("int")).alias("allow"), F.avg((F.col("ruled") == "block").cast("int")).alias("block"), F.count("*").alias("n"))
-        .select("host", F.expr("coalesce(allow, 0D)").alias("allow"), F.expr("coalesce(block, 0D)").alias("block"))
+        .agg((F.count_if(F.col("ruled") == "allow") / F.count("*")).alias("allow"), (F.count_if(F.col("ruled") == "block") / F.count("*")).alias("block"))
     )
 
     def spread(kind: str, links: DataFrame) -> DataFrame:
