@@ -25,8 +25,10 @@ from pyspark.sql import functions as F
 
 from .host_trust import split_url
 
-#: The most hosts whose winning paths are broadcast; beyond it they are joined by a shuffle.
+#: The most hosts, and characters of their winning paths, that are broadcast; beyond them they are joined by a
+#: shuffle, whose large hosts Spark splits.
 BROADCAST_HOSTS = 200_000
+BROADCAST_CHARS = 64 << 20
 TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>"'<]++|"[^"<]*"|'[^'<]*'|["'])*+)>""", re.S)
 ATTRIBUTE = re.compile(r"""([a-zA-Z-]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -245,7 +247,8 @@ def extract_main_text(pages: DataFrame, share: float = 0.2, broadcast_hosts: int
 
     kinds = dict(pages.dtypes)
     winners = cut(host_paths(pages, share))
-    small = winners.count() <= broadcast_hosts
+    found = winners.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.length(F.array_join("paths", ""))), F.lit(0)).alias("chars")).first()
+    small = found["n"] <= broadcast_hosts and found["chars"] <= BROADCAST_CHARS
     host, _ = split_url(F.col("url"))
     # ids travel as text: whole numbers with nulls would become floating point
     own = pages.select(F.col("page_id").cast("string").alias("page_id"), "url", "html", host.alias("host")).join(F.broadcast(winners) if small else winners, "host", "left")
