@@ -127,9 +127,15 @@ def gather_candidates(companies: DataFrame, entities: DataFrame, hints: DataFram
     name = companies.drop("ticker").join(e, "norm")
     hinted = hints.where("norm <> ''").groupBy("company_id").agg(F.collect_set("norm").alias("hinted"))
     names = entities.select("cik", "norm", "current")
-    asked = hints.select(F.struct("company_id", "norm").alias("company_id"), "norm", F.col("norm").alias("name")).distinct()
-    near_hint = fuzzy_candidates(asked, names, least=0.85).select("company_id.company_id", "cik", "similarity")
-    fuzzy = fuzzy_candidates(companies.drop("ticker").join(hinted, "company_id", "left"), names, least=0.78).join(companies.select("company_id", "norm"), "company_id")
+    # companies and their hints' names are searched at once: a hint is told apart by its name
+    none = F.lit(None).cast("string")
+    own_names = companies.join(hinted, "company_id", "left").select(
+        F.struct("company_id", F.lit("").alias("hint")).alias("company_id"), "norm", F.col("name") if "name" in companies.columns else none.alias("name"), "hinted"
+    )
+    hint_names = hints.where("norm <> ''").select(F.struct("company_id", F.col("norm").alias("hint")).alias("company_id"), "norm", F.col("norm").alias("name"), F.lit(None).cast("array<string>").alias("hinted")).distinct()
+    near = fuzzy_candidates(own_names.unionByName(hint_names), names, least=0.78).select("company_id.company_id", "company_id.hint", "cik", "similarity")
+    near_hint = near.where("hint <> '' AND similarity >= 0.85").drop("hint")
+    fuzzy = near.where("hint = ''").drop("hint").join(companies.select("company_id", "norm"), "company_id")
     close = fuzzy.where(F.col("similarity") >= F.greatest(F.lit(0.78), numbers.name_threshold(F.col("norm")) - 0.12))
     rows = found(own, 0.95, "ticker", False, False)
     for more in (
