@@ -237,7 +237,7 @@ def test_archives_end_with_their_range(spark, sf, tmp_path):
     docs = table(spark, sf, "documents")
     folder = str(tmp_path / "g")
     made = media_archive.write_archives(docs.coalesce(1), folder, archive_bytes=50_000).collect()
-    assert len(made) > 5 and sum(r["members"] for r in made) == docs.count() and all(r["bytes"] <= 50_000 or r["members"] == 1 for r in made)
+    assert len(made) > 3 and sum(r["members"] for r in made) == docs.count() and all(r["bytes"] <= 50_000 or r["members"] == 1 for r in made)
     rows = media_archive.describe_media(media_archive.read_archives(spark, folder)).collect()
     assert Counter(r["payload_sha256"] for r in rows) == Counter(hashlib.sha256(padded(d["text"])).hexdigest() for d in docs.collect())
 
