@@ -19,7 +19,7 @@ LOWER = "abcdefghijklmnopqrstuvwxyz"
 #: Rows of a counted table that one task takes.
 ROWS_A_TASK = 200_000
 #: The most rows of ids or hashes that are broadcast, always after a count.
-BROADCAST_ROWS = 500_000
+BROADCAST_ROWS = 200_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -43,8 +43,10 @@ def components(links: DataFrame, work: Work | None = None, most_rounds: int = 60
     raise RuntimeError(f"no fixed point after {most_rounds} rounds")
 
 
-def joined(roots: DataFrame, links: DataFrame, work: Work) -> DataFrame:
-    """Components (node, root) after more links (u, v), by the components of the roots that these link."""
+def joined(roots: DataFrame, links: DataFrame, n: int, work: Work) -> DataFrame:
+    """Components (node, root) after n more links (u, v), by the components of the roots that these link."""
+    if not n:
+        return roots
     ends = links.select("u", "v")
     for c in ("u", "v"):
         ends = ends.join(roots.select(F.col("node").alias(c), F.col("root").alias(f"r{c}")), c, "left")

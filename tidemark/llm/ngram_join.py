@@ -331,8 +331,8 @@ def possible(pairs: DataFrame, info: DataFrame, threshold: int) -> DataFrame:
     return pairs.join(one, "u").join(two, "v").where(enough("n1", "n2", "r1", "r2")).select("u", "v")
 
 
-def verified(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
-    """Pairs u, v whose sets are similar enough, by their exact common shingles."""
+def verified(pairs: DataFrame, n: int, sets: DataFrame, threshold: int, work: Work) -> tuple[DataFrame, int]:
+    """Of the n pairs u, v those whose sets are similar enough, by their exact common shingles, and their number."""
 
     @F.pandas_udf("boolean")
     def similar(s1: pd.Series, s2: pd.Series) -> pd.Series:
@@ -343,10 +343,11 @@ def verified(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
             out.append(100 * common >= threshold * (len(a) + len(b) - common))
         return pd.Series(out, dtype=bool)
 
-    sets = sets.join(ends(pairs), "node", "left_semi")  # few of them are needed after the first round
+    sets = sets.join(small(ends(pairs), 2 * n), "node", "left_semi")  # few of them are needed after the first round
     one = sets.select(F.col("node").alias("u"), F.col("shingles").alias("s1"))
     two = sets.select(F.col("node").alias("v"), F.col("shingles").alias("s2"))
-    return pairs.join(one, "u").join(two, "v").where(similar("s1", "s2")).select("u", "v").distinct()
+    found = pairs.join(one, "u").join(two, "v").where(similar("s1", "s2")).select("u", "v")
+    return work.sized(found.distinct())
 
 
 def ends(pairs: DataFrame) -> DataFrame:
@@ -366,15 +367,14 @@ def across(pairs: DataFrame, roots: DataFrame) -> DataFrame:
     return both.where(F.coalesce("r1", "u") != F.coalesce("r2", "v")).select("u", "v")
 
 
-def likely(pairs: DataFrame, nodes: DataFrame, threshold: int, work: Work) -> tuple[DataFrame, DataFrame, int]:
-    """Pairs that aren't ruled out, the nodes in them (node, id) and their number."""
+def likely(pairs: DataFrame, nodes: DataFrame, threshold: int, work: Work) -> tuple[DataFrame, int, DataFrame, int]:
+    """Of the pairs those that aren't ruled out, their number, the nodes in them (node, id) and their number."""
     pairs, n = work.sized(ordered(pairs))
-    asked = small(ends(pairs), 2 * n)
-    info, _ = work.sized(nodes.join(asked, "node", "left_semi"))
-    good, n = work.sized(possible(pairs, info, threshold))
-    named, n = work.sized(info.select("node", "id").join(small(ends(good), 2 * n), "node", "left_semi"))
+    info, _ = work.sized(nodes.join(small(ends(pairs), 2 * n), "node", "left_semi"))
+    good, left = work.sized(possible(pairs, info, threshold))
+    named, there = work.sized(info.select("node", "id").join(small(ends(good), 2 * left), "node", "left_semi"))
     work.drop(pairs, info)
-    return good, named, n
+    return good, left, named, there
 
 
 def star_pairs(long: DataFrame, threshold: int, work: Work) -> DataFrame:
@@ -417,28 +417,31 @@ def link(docs: DataFrame, nodes: DataFrame, counts: DataFrame, words: int, thres
     lists = work.keep(list_pairs(postings(docs, frequent, words, threshold, hot), threshold, short))
     members = work.keep(lists.where("kind = 3").select(F.col("a").alias("node"), F.col("b").alias("group")).distinct())
     long = work.keep(lists.where("kind = 1").select(F.col("b").alias("token"), F.col("a").alias("group"), "place").distinct())
+    listed = not long.isEmpty()
     counted = lists.where("kind = 0").groupBy("a", "b").agg(F.sum(F.expr("place div 8")).alias("lists"), F.min(F.expr("place % 8")).alias("need"))
     posted_long = long.select(F.col("group").alias("posted")).distinct()
     fewer = counted.where("lists < need")  # the other lists that they share may be long
     for side in ("a", "b"):
         fewer = fewer.join(posted_long, F.col(side) == F.col("posted"), "left_semi")
-    near, _ = work.sized(counted.where("lists >= need").unionByName(fewer).select("a", "b"))
+    enough = counted.where("lists >= need")
+    near, _ = work.sized((enough.unionByName(fewer) if listed else enough).select("a", "b"))
     work.drop(lists)
     groups = work.keep(members.groupBy("group").agg(F.min("node").alias("head"), F.count("*").alias("size")))
     many, crowded = work.sized(groups.where("size > 1"))
     several = members.join(small(many, crowded), "group")  # of groups with more than one
-    listed = not long.isEmpty()
     heads = near.unionByName(star_pairs(long, threshold, work)).distinct() if listed else near
     for side, end in (("a", "u"), ("b", "v")):
         heads = heads.join(groups.select(F.col("group").alias(side), F.col("head").alias(end)), side)
-    pairs, named, n = likely(heads.select("u", "v").unionByName(several.select(F.col("node").alias("u"), F.col("head").alias("v"))), nodes, threshold, work)
+    first_pairs = heads.select("u", "v").unionByName(several.select(F.col("node").alias("u"), F.col("head").alias("v")))
+    pairs, n_pairs, named, n = likely(first_pairs, nodes, threshold, work)
     sets = work.keep(sets_of(docs, named, words, n))
     # one pair for each node, with its least partner, joins most of what belongs together
-    first, _ = work.sized(pairs.groupBy("v").agg(F.min("u").alias("u")).select("u", "v"))
-    roots = components(work.sized(verified(first, sets, threshold))[0], work)
-    rest, more = work.sized(across(pairs.join(first, ["u", "v"], "left_anti"), roots))
-    if more:
-        roots = joined(roots, work.sized(verified(rest, sets, threshold))[0], work)
+    first, n = work.sized(pairs.groupBy("v").agg(F.min("u").alias("u")).select("u", "v"))
+    links, n = verified(first, n, sets, threshold, work)
+    roots = components(links, work)
+    rest, n = work.sized(across(pairs.join(first, ["u", "v"], "left_anti"), roots))
+    if n:
+        roots = joined(roots, *verified(rest, n, sets, threshold, work), work)
     work.drop(sets)
     # groups become their members, by components
     placed = work.keep(members.join(roots, "node", "left").select("group", "node", F.coalesce("root", "node").alias("comp")))
@@ -453,15 +456,15 @@ def link(docs: DataFrame, nodes: DataFrame, counts: DataFrame, words: int, thres
         found += [same, touched.join(one, "a").join(two, "b").where("ca <> cb").select("a", "ca", "b", "cb")]
     if not found:
         return roots
-    wanted, more = work.sized(reduce(DataFrame.unionByName, found).distinct())
-    if not more:
+    wanted, n = work.sized(reduce(DataFrame.unionByName, found).distinct())
+    if not n:
         return roots
     for side, end in (("a", "u"), ("b", "v")):
         wanted = wanted.join(placed.select(F.col("group").alias(side), F.col("comp").alias(f"c{side}"), F.col("node").alias(end)), [side, f"c{side}"])
-    pairs, named, n = likely(wanted.select("u", "v"), nodes, threshold, work)
+    pairs, n_pairs, named, n = likely(wanted.select("u", "v"), nodes, threshold, work)
     if not n:
         return roots
-    return joined(roots, work.sized(verified(pairs, work.keep(sets_of(docs, named, words, n)), threshold))[0], work)
+    return joined(roots, *verified(pairs, n_pairs, work.keep(sets_of(docs, named, words, n)), threshold, work), work)
 
 
 def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", row: str | None = None, words: int = WORDS, threshold: int = THRESHOLD, short: int = SHORT, hot: int = HOT) -> DataFrame:
@@ -479,6 +482,7 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, threshold: int = THRESHOLD, short: int = SHORT, hot: int = HOT) -> DataFrame:
     """Per document: id, n_shingles, component_id (least id that links reach)."""
     found = jaccard_classes(docs, id_col, text_col, None, words, threshold, short, hot)
-    names = found.where("n > 0").groupBy("root").agg(F.min("id").alias("component_id"))
+    # written, so that Spark can split a root that a third of the documents have when it joins
+    names = cut(found.where("n > 0").groupBy("root").agg(F.min("id").alias("component_id")))
     component = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id"))
     return found.join(names, "root", "left").select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"))
