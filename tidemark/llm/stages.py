@@ -48,7 +48,8 @@ def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     rows = keyed(docs)
     with Work(spark, "deduplicate") as work:
         found = ngram_join.jaccard_classes(rows, row=ROW).where("n > 0")
-        first = found.groupBy("root").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "row")).alias("first"))
+        # written, so that Spark can split a root that a third of the documents have when it joins
+        first = work.keep(found.groupBy("root").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "row")).alias("first")))
         marked = work.keep(found.join(first, "root").select(F.col("id").alias("__id"), F.col("row").alias("__key"), (F.col("id").eqNullSafe(F.col("first.id")) & (F.col("row") == F.col("first.row"))).alias("stays")))
         gone, n = work.sized(marked.where("NOT stays").select("__id", "__key").distinct())
         repeated, more = work.sized(marked.where("stays").groupBy("__id", "__key").count().where("count > 1").select("__id", "__key"))
