@@ -343,3 +343,20 @@ def test_pruned_similarity_keeps_what_reaches_the_least(spark):
     for least in (0.5, 0.78, 0.95):
         for r in rows.select(resolve.similarity(F.col("a"), F.col("b")).alias("x"), resolve.similarity(F.col("a"), F.col("b"), least).alias("y")).collect():
             assert r["x"] == r["y"] or r["y"] <= r["x"] < least
+
+
+def test_pools_of_common_words_lose_no_candidate(spark, monkeypatch):
+    """Names of few and of many frequent words, and of rare ones, against counting every pair."""
+    import random
+
+    monkeypatch.setattr(resolve, "RARE", 3)
+    monkeypatch.setattr(resolve, "FEW", 3)
+    dice = random.Random(4)
+    names = {i: " ".join([*dice.choices("ABCDEFGH", k=dice.randint(1, 6)), *([f"R{i % 40}"] if i % 3 else [])]) for i in range(120)}
+    rows = spark.createDataFrame(list(names.items()), "id int, norm string")
+    got = {(r["company_id"], r["cik"], r["hits"]) for r in resolve.token_candidates(rows.withColumnRenamed("id", "company_id"), rows.withColumnRenamed("id", "cik"), pool=7).collect()}
+    want = set()
+    for i, a in names.items():
+        hits = sorted((-len(set(a.split()) & set(b.split())), j) for j, b in names.items())
+        want |= {(i, j, -n) for n, j in hits[:7] if n}
+    assert got == want
