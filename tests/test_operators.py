@@ -360,3 +360,16 @@ def test_pools_of_common_words_lose_no_candidate(spark, monkeypatch):
         hits = sorted((-len(set(a.split()) & set(b.split())), j) for j, b in names.items())
         want |= {(i, j, -n) for n, j in hits[:7] if n}
     assert got == want
+
+
+def test_ratios_of_many_pairs_are_those_of_difflib():
+    import difflib
+    import random
+
+    import numpy as np
+
+    dice = random.Random(5)
+    for letters, most in (("AB", 12), ("ABC D", 30), ("éß\U0001f600B ", 25), ("AB ", 230)):
+        lefts, rights = (["".join(dice.choices(letters, k=dice.randint(0, most))) for _ in range(30)] for _ in range(2))
+        one, two = (x.ravel() for x in np.meshgrid(np.arange(30), np.arange(30)))
+        assert resolve.ratios(lefts, rights, one, two).tolist() == [difflib.SequenceMatcher(None, lefts[i], rights[j]).ratio() for i, j in zip(one, two, strict=True)]
