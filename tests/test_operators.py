@@ -373,3 +373,19 @@ def test_ratios_of_many_pairs_are_those_of_difflib():
         lefts, rights = (["".join(dice.choices(letters, k=dice.randint(0, most))) for _ in range(30)] for _ in range(2))
         one, two = (x.ravel() for x in np.meshgrid(np.arange(30), np.arange(30)))
         assert resolve.ratios(lefts, rights, one, two).tolist() == [difflib.SequenceMatcher(None, lefts[i], rights[j]).ratio() for i, j in zip(one, two, strict=True)]
+
+
+def test_parsed_rows_are_passed_on_in_parts():
+    """A batch of many documents never stands in memory with all its rows."""
+    import pandas as pd
+
+    from tidemark.plans.batches import parse_each
+
+    class Docs:
+        dtypes = [("path", "string"), ("content", "string")]
+        select = lambda self, *_: self
+        mapInPandas = lambda self, run, _: run  # noqa: E731, N815
+
+    run = parse_each(Docs(), lambda _: ({"n": i} for i in range(4000)), "n int", key="path")
+    sizes = [len(x) for x in run(iter([pd.DataFrame({"path": list("abcdef"), "content": "x"})]))]
+    assert sum(sizes) == 24000 and max(sizes) <= 8000

@@ -11,6 +11,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 
 Row = dict
+#: Parsed rows that are held before they're passed on.
+HELD = 5000
 
 
 def parse_each(docs: DataFrame, parse: Callable[..., Iterable[Row]], schema: str, content: str = "content", key: str = "accession", extra: tuple[str, ...] = ()) -> DataFrame:
@@ -32,8 +34,10 @@ def parse_each(docs: DataFrame, parse: Callable[..., Iterable[Row]], schema: str
                 except Exception:  # noqa: BLE001  documents hold anything; only this one is lost
                     continue
                 out += [(values[0], *(row.get(n) for n in names)) for row in rows]
-            frame = pd.DataFrame(out, columns=[key, *names], dtype=object)
-            yield frame
+                if len(out) >= HELD:
+                    yield pd.DataFrame(out, columns=[key, *names], dtype=object)
+                    out = []
+            yield pd.DataFrame(out, columns=[key, *names], dtype=object)
 
     return docs.select(key, content, *extra).mapInPandas(run, f"{key} {kinds[key]}, {schema}")
 

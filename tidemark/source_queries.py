@@ -7,6 +7,7 @@ import io
 import zipfile
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from . import fixed
@@ -57,15 +58,15 @@ def workbooks(spark, sf_dir):
 
     def packed(batches):
         for batch in batches:
-            out = []
-            for supplier, lines in zip(batch["l_suppkey"], batch["lines"], strict=True):
+            for i in range(batch.num_rows):  # one supplier's lines at a time become Python objects
+                supplier, lines = batch.column("l_suppkey")[i].as_py(), batch.column("lines")[i].as_py()
                 rows = [(f"P{r['l_partkey']}", None, f" US{r['l_partkey']:010d} ", float(r["l_discount"])) for r in lines]
                 raw = tables.build_workbook(rows, [["Fund"], [], ["As of"], ["Name", "CUSIP", "ISIN", "Weight"]], {"fund": f"S{supplier}", "rows": len(rows)})
-                out.append((f"/f/1998-03-31/{supplier}.xlsx", b"PK no workbook" if supplier % 7 == 0 else raw))
-            yield pd.DataFrame(out, columns=["path", "content"])
+                content = b"PK no workbook" if supplier % 7 == 0 else raw
+                yield pa.RecordBatch.from_pydict({"path": [f"/f/1998-03-31/{supplier}.xlsx"], "content": pa.array([content], pa.binary())})
 
     rows = table(spark, sf_dir, "lineitem").select("l_suppkey", F.struct("l_orderkey", "l_linenumber", "l_partkey", "l_discount").alias("r"))
-    return rows.groupBy("l_suppkey").agg(F.sort_array(F.collect_list("r")).alias("lines")).mapInPandas(packed, "path string, content binary")
+    return rows.groupBy("l_suppkey").agg(F.sort_array(F.collect_list("r")).alias("lines")).mapInArrow(packed, "path string, content binary")
 
 
 @query(f"""
