@@ -160,6 +160,34 @@ def test_instances(spark):
     assert dict(submission.xbrl_instance(source, first.limit(0)).collect()) == {"a0": "main.xml", "a1": "told.txt", "a2": "yes.xml", "a3": "main.xml"}
 
 
+def test_parts_are_those_of_the_single_operators(spark):
+    document = lambda kind, name, told, body, seq="": f"<DOCUMENT><TYPE>{kind}\n{seq}<FILENAME>{name}\n<DESCRIPTION>{told}\n<TEXT>\n{body}\n</TEXT></DOCUMENT>"
+    head, table, facts = "CONFORMED SUBMISSION TYPE: 13F-HR\n", document("INFORMATION TABLE", "info.xml", "x", "<t/>"), document("EX-101.INS", "i.xml", "x", "<xbrl>1</xbrl>")
+    source = docs(
+        spark,
+        head + document("EX-99", "a.htm", "x", "a") + document("13F-HR", "Main.HTM", "x", "<XML>m</XML>") + table + facts,
+        document("EX-99", "a.pdf", "x", "a", "<SEQUENCE>1\n") + document("EX-98", "b.txt", "x", "b", "<SEQUENCE>002\n") + document("EX-97", "c.txt", "x", "c", "<SEQUENCE>001\n"),
+        head + table + table + document("13F-HR", "info.xml", "infotable", "again"),
+        head + document("13F-HR", "p.pdf", "x", "p") + document("X", "pick.bin", "x", "picked") + "<DOCUMENT><TYPE>INFO TABLE\n<TEXT>no name</TEXT></DOCUMENT>" + table,
+        "<DOCUMENT><TEXT>neither name nor type</TEXT></DOCUMENT>", "no documents", "", None,
+    )
+    headers = submission.header_fields(source).withColumn("preferred", F.when(F.col("accession") == "a3", "PICK.bin"))
+    rows = submission.document_rows(source)
+    primary = submission.primary_from_header(rows, headers)
+    want = headers.select("accession").join(primary.withColumnRenamed("filename", "primary"), "accession", "left")
+    for name, found in (("info", submission.info_table(rows, primary)), ("instance", submission.xbrl_instance(source, primary)), ("body", submission.document_bodies(source.join(primary, "accession")))):
+        want = want.join(found.toDF("accession", name), "accession", "left")
+    got = submission.parts(headers.join(source, "accession"), "accession")
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect())) and got.columns == want.columns
+
+
+def test_submission_parts_reads_each_text_once(spark, sf):
+    from tidemark.source_queries import submission_parts
+
+    plan = submission_parts(spark, sf)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and "Join" not in plan
+
+
 def test_index_pages(spark):
     row = "<tr><td>{0}</td><td>d</td><td><a href='/Archives/edgar/data/1/{1}'>{1}</a></td><td>{2}</td><td>9</td></tr>"
     page = "<table><tr><th>Seq</th></tr>" + row.format(1, "xslF345/a.xml", "4") + row.format(2, "a.xml", "4") + row.format(3, "x.jpg", "GRAPHIC") + "</table><a href='/Archives/edgar/data/1/a.xml'>again</a>"

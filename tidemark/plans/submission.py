@@ -7,6 +7,7 @@ import re
 from collections.abc import Iterator
 from urllib.parse import urljoin
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -18,6 +19,7 @@ HEAD = re.compile(rf"^(?:(?P<colon>{ROLES}):[ \t]*\r?$|[ \t]*<(?P<angle>{ROLES})
 TEXTUAL = (".htm", ".html", ".txt", ".xml", ".xsd", ".xsl")
 PARTY = "position int, role string, cik string, name string"
 DOCUMENT = "position int, sequence string, filename string, description string, doc_type string"
+PARTS = "primary string, info string, instance string, body string"
 INDEX_ROW = "position int, sequence string, description string, href string, filename string, doc_type string, size string"
 
 
@@ -91,8 +93,8 @@ def archive_links(page: str, base: str) -> Iterator[Row]:
     yield from ({"position": i, "link": x} for i, x in enumerate(good))
 
 
-def header_fields(submissions: DataFrame, content: str = "content") -> DataFrame:
-    """accession, form_type, acceptance_datetime, filed_as_of_date, period, items of submission texts."""
+def header_fields(submissions: DataFrame, content: str = "content", keep: tuple[Column | str, ...] = ()) -> DataFrame:
+    """accession, form_type, acceptance_datetime, filed_as_of_date, period, items of submission texts, and the columns in `keep`."""
     c = F.col(content).cast("string")
     items = F.transform(F.regexp_extract_all(c, F.lit(r"ITEM INFORMATION:\s*(.+)"), 1), F.trim)
     return submissions.select(
@@ -102,6 +104,7 @@ def header_fields(submissions: DataFrame, content: str = "content") -> DataFrame
         text.first_match(c, r"FILED AS OF DATE:\s*(\d{8})").alias("filed_as_of_date"),
         text.first_match(c, r"CONFORMED PERIOD OF REPORT:\s*(\d{8})").alias("period"),
         items.alias("items"),
+        *keep,
     )
 
 
@@ -167,11 +170,11 @@ def info_table(docs: DataFrame, primary: DataFrame) -> DataFrame:
     return hits.groupBy("accession").agg(F.min_by("filename", "position").alias("filename"))
 
 
-def instance(content: bytes | str, primary: str | None) -> Iterator[Row]:
+def instance(content: bytes | str, primary: str | None, rows: list[Row] | None = None) -> Iterator[Row]:
     """The first document besides the primary one that is said to be an instance, else the first XML file that is no
-    schema, linkbase or stylesheet; either must begin with tagged facts."""
+    schema, linkbase or stylesheet; either must begin with tagged facts. rows: `documents`, if they're there already."""
     stated, others = [], []
-    for row in documents(content):
+    for row in documents(content) if rows is None else rows:
         name, kind, told = row["filename"], (row["doc_type"] or "").upper(), (row["description"] or "").lower()
         low = (name or "").lower()
         if not low or low == (primary or "").lower() or not low.endswith(TEXTUAL):
@@ -188,6 +191,55 @@ def instance(content: bytes | str, primary: str | None) -> Iterator[Row]:
                 return
 
 
+def primary_name(rows: list[Row], form_type: str | None, preferred: str | None) -> str | None:
+    """What `primary_from_header` chooses among one submission's documents."""
+    plain = lambda x: x.strip(" ").upper() if x is not None else None
+
+    def rank(row: Row) -> int:
+        textual = re.search(r"\.(?:htm|html|txt|xml|xsd|xsl)\Z", row["filename"].lower())
+        if preferred is not None and row["filename"].lower() == preferred.lower():
+            return 0
+        if textual and None is not plain(row["doc_type"]) == plain(form_type):
+            return 1
+        first = (row["sequence"] or "").strip(" ").lstrip("0") in ("", "1")
+        return (2 if first else 3) if textual else 4
+
+    return min((r for r in rows if r["filename"] is not None), key=lambda r: (rank(r), r["position"]), default={"filename": None})["filename"]
+
+
+def info_name(rows: list[Row], primary: str | None) -> str | None:
+    """What `info_table` finds among one submission's documents."""
+    said = lambda r: " ".join(r[c] for c in ("doc_type", "description", "filename") if r[c] is not None).lower()
+    return next((r["filename"] for r in rows if r["filename"] != primary and re.search("information table|infotable|info table", said(r))), None)
+
+
+def parts(submissions: DataFrame, *keep: str) -> DataFrame:
+    """The columns in `keep` and primary, info, instance, body: what `primary_from_header`, `info_table`, `xbrl_instance`
+    and `document_bodies` give for each submission, in one pass over the texts and without a join.
+
+    submissions: content, form_type, preferred (may be null). Each row stays; a part that can't be parsed is null.
+    """
+
+    def each(content: bytes | str | None, form_type: str | None, preferred: str | None) -> tuple[str | None, ...]:
+        if content is None:
+            return None, None, None, None
+        try:
+            rows = list(documents(content))
+            primary = primary_name(rows, form_type, preferred)
+            found = next(instance(content, primary, rows), {"filename": None})["filename"]
+            body = next(document_body(content, primary), {"body": None})["body"] if primary else None
+            return primary, info_name(rows, primary), found, body
+        except Exception:  # noqa: BLE001  documents hold anything; only this one is lost
+            return None, None, None, None
+
+    @F.pandas_udf(PARTS)
+    def read(content: pd.Series, form_type: pd.Series, preferred: pd.Series) -> pd.DataFrame:
+        rows = [each(*values) for values in zip(content, form_type, preferred, strict=True)]
+        return pd.DataFrame(rows, columns=["primary", "info", "instance", "body"], dtype=object)
+
+    return submissions.select(*keep, read("content", "form_type", "preferred").alias("__parts")).select(*keep, "__parts.*")
+
+
 def xbrl_instance(submissions: DataFrame, primary: DataFrame) -> DataFrame:
     """accession, filename of the instance by type or description, else by content. submissions: accession, content; primary: accession, filename."""
     both = submissions.select("accession", "content").join(primary.select("accession", F.col("filename").alias("primary")), "accession", "left")

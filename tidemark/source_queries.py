@@ -179,8 +179,15 @@ def browse_results(spark, sf_dir):
     return tables.browse_results(table(spark, sf_dir, "customer").select(k.alias("company_id"), page.alias("html")))
 
 
-def filings_text(spark, sf_dir):
-    """Submission texts of four documents: a page, an information table, a schema and an instance."""
+#: Submissions that one task parses.
+TEXTS_A_TASK = 20_000
+
+
+def filings_text(spark, sf_dir, spread=False):
+    """Submission texts of four documents: a page, an information table, a schema and an instance.
+
+    spread: whether the keys, from which the texts are made, are dealt to more tasks than their small file has.
+    """
     k = F.col("o_orderkey")
     doc = lambda kind, name, told, body: F.concat(F.lit(f"<DOCUMENT><TYPE>{kind}\n<SEQUENCE>1\n<FILENAME>"), F.lit(name), F.lit(f"\n<DESCRIPTION>{told}\n<TEXT>"), body, F.lit("</TEXT></DOCUMENT>"))
     instance = F.when(k % 3 == 0, F.concat(F.lit("<XBRL>\n<xbrl>"), k.cast("string"), F.lit("</xbrl>\n</XBRL>"))).otherwise("<other/>")
@@ -189,7 +196,10 @@ def filings_text(spark, sf_dir):
         doc("13F-HR", "main.htm", "report", F.concat(F.lit("<p>"), k.cast("string"), F.lit("</p>"))), doc("INFORMATION TABLE", "info.xml", "holdings", F.lit("<informationTable/>")),
         doc("EX-101.SCH", "x.xsd", "schema", F.lit("<xbrl/>")), F.when(k % 2 == 0, doc("EX-101.INS", "inst.xml", "XBRL INSTANCE", instance)).otherwise(doc("EX-99", "data.xml", "data", instance)),
     )
-    return table(spark, sf_dir, "orders").select(k.alias("accession"), content.alias("content"))
+    keys = table(spark, sf_dir, "orders").select(k)
+    if spread:
+        keys = keys.repartition(-(-keys.count() // TEXTS_A_TASK) or 1)
+    return keys.select(k.alias("accession"), content.alias("content"))
 
 
 @query("""
@@ -197,16 +207,11 @@ def filings_text(spark, sf_dir):
       CASE WHEN o_orderkey % 3 = 0 THEN CASE WHEN o_orderkey % 2 = 0 THEN 'inst.xml' ELSE 'data.xml' END END AS instance, '<p>' || o_orderkey || '</p>' AS body, CASE WHEN o_orderkey % 3 = 0 THEN TRUE ELSE o_orderkey % 2 = 0 END AS speaks FROM orders""")
 def submission_parts(spark, sf_dir):
     """Header fields, the information table, the instance by content, and the primary document's body."""
-    rows = filings_text(spark, sf_dir)
-    docs = submission.document_rows(rows)
-    header = submission.header_fields(rows)
-    primary = submission.primary_from_header(docs, header.select("accession", "form_type", F.lit(None).cast("string").alias("preferred")))
-    info = submission.info_table(docs, primary).withColumnRenamed("filename", "info")
-    instance = submission.xbrl_instance(rows, primary).withColumnRenamed("filename", "instance")
-    bodies = submission.document_bodies(rows.join(primary, "accession"))
+    rows = filings_text(spark, sf_dir, spread=True)
     last = F.regexp_extract("content", r"(?s).*<TEXT>(.*?)</TEXT></DOCUMENT>$", 1)
-    told = rows.select("accession", (submission.xbrl_marker(last) | (F.col("accession") % 2 == 0)).alias("speaks"))
-    out = header.join(info, "accession", "left").join(instance, "accession", "left").join(bodies, "accession", "left").join(told, "accession")
+    speaks = submission.xbrl_marker(last) | (F.col("accession") % 2 == 0)
+    header = submission.header_fields(rows, keep=("content", speaks.alias("speaks"))).withColumn("preferred", F.lit(None).cast("string"))
+    out = submission.parts(header, "accession", "form_type", "acceptance_datetime", "filed_as_of_date", "items", "speaks")
     return out.select("accession", "form_type", "acceptance_datetime", "filed_as_of_date", F.array_join("items", ",").alias("items"), "info", "instance", "body", "speaks")
 
 
