@@ -474,3 +474,29 @@ def test_extraction_of_the_whole_table(spark, sf):
         body = re.search(r"<article>(.*?)</article>", r["html"], re.S)[1]
         blocks = [" ".join(h.unescape(re.sub(r"<br>", " ", re.sub(r"</?b>", "", x))).split()) for x in re.split(r"</?(?:h1|p)>", body)]
         assert texts[r["page_id"]] == "\n".join(x for x in blocks if x)
+
+
+def test_pairs_of_near_copies_are_described_once_for_each_node(spark, monkeypatch):
+    """Of near copies, whose short lists give pairs by the square, one pair for each node and those between components go on."""
+    words = [f"w{i * 7919 % 1009}" for i in range(160)]
+    texts = [" ".join([*words[: i + 10], f"e{i}", *words[i + 11 :]]) for i in range(100)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    numbers = []
+
+    def ends(pairs, ends=ngram_join.ends):
+        numbers.append(pairs.count())
+        found = ends(pairs)
+        assert sorted(r["node"] for r in found.collect()) == sorted({x for r in pairs.collect() for x in (r["u"], r["v"])})
+        assert "Generate" not in found._jdf.queryExecution().executedPlan().toString()
+        return found
+
+    monkeypatch.setattr(ngram_join, "ends", ends)
+    got = {(r["doc_id"], r["component_id"]) for r in ngram_join.jaccard_components(docs).collect()}
+    assert got == {(i, 0) for i in range(100)} and max(numbers) <= 300
+
+
+def test_repeats():
+    held = [np.array(x, np.uint64) for x in ([5, 7, 2**63], [5, 2**63], [5, 7, 9], [2**63, 5])]
+    values, counts = ngram_join.repeats(held, 3)
+    assert values.tolist() == [5, 2**63] and counts.tolist() == [4, 3] and not held
+    assert [len(x) for x in ngram_join.repeats([], 3)] == [0, 0]

@@ -114,3 +114,18 @@ def kept(key: str, build):
     if key not in store:
         store[key] = build()
     return store[key]
+
+
+def forget() -> None:
+    """Gives back what other operators have kept on this Python worker, which Spark uses again, and what its allocators hold unused."""
+    import ctypes
+
+    import pyarrow
+
+    if store := sys.modules.get("_tidemark_kept"):
+        store.__dict__.clear()
+    pyarrow.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # not the GNU library
+        pass

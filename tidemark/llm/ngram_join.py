@@ -14,9 +14,9 @@ last in the order.
    lists, or in any if both groups post to long ones too. Long lists give star pairs: each group with the
    group of its list and size band that stands in most long lists.
 3. Each group has a head, its least node. The heads of group pairs, and each member with the head of its
-   group, are the first pairs of nodes: their number is linear in the lists and the groups. Those whose
-   counts per hash range rule out enough common shingles are dropped (an upper bound, so exact). Of the
-   rest, one pair for each node is verified first; then those between different components.
+   group, are the first pairs of nodes: at most SHORT / 2 for each posting. One for each node, with the
+   partner of the most lists, is verified first; of the rest, only those between different components go on.
+   Pairs whose counts per hash range rule out enough common shingles are dropped (an upper bound, so exact).
 4. Then groups are expanded: a group's members are split by component, and only parts in different
    components are paired, within a group, between the groups of a pair, and along the long lists. There,
    the smaller of two sets must leave room for the larger one behind their first common shingle; a set
@@ -45,7 +45,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Work, cut, small
+from .common import Work, cut, forget, small
 from .components import components, joined
 
 WORDS = 4
@@ -109,19 +109,28 @@ def needed(n1, n2, threshold: int):
     return -(-threshold * (n1 + n2) // (100 + threshold))
 
 
+def repeats(held: list[np.ndarray], least: int) -> tuple[np.ndarray, np.ndarray]:
+    """Values that stand `least` times or more in the arrays, and how often. The list is emptied, so that memory holds little more than its values."""
+    x = np.concatenate([np.empty(0, np.uint64), *held])
+    held.clear()
+    x.sort()
+    values = np.unique(x[least - 1 :][x[least - 1 :] == x[: len(x) - least + 1]])
+    return values, np.searchsorted(x, values, "right") - np.searchsorted(x, values, "left")
+
+
 def survey(docs: DataFrame, words: int) -> DataFrame:
     """One sweep over all texts (id, row, text): rows (0, id, row, n, node, ranges) per document and
     (1, null, 0, count, shingle, null) for shingles that repeat within a block of documents."""
     kind = dict(docs.dtypes)["id"]
 
     def sweep(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        forget()
         held: list[np.ndarray] = []
         size = 0
 
         def repeated() -> pd.DataFrame:
-            values, counts = np.unique(np.concatenate(held), return_counts=True) if held else (np.empty(0, np.uint64), np.empty(0, np.int64))
-            often = counts >= LOCAL
-            return pd.DataFrame({"kind": np.int8(1), "id": None, "row": np.int64(0), "n": counts[often], "key": values[often].view(np.int64), "ranges": None})
+            values, counts = repeats(held, LOCAL)
+            return pd.DataFrame({"kind": np.int8(1), "id": None, "row": np.int64(0), "n": counts, "key": values.view(np.int64), "ranges": None})
 
         seen: set[int] = set()
         for batch in batches:
@@ -138,7 +147,7 @@ def survey(docs: DataFrame, words: int) -> DataFrame:
             yield pd.DataFrame({"kind": np.int8(0), "id": batch["id"], "row": batch["row"], "n": ns, "key": keys, "ranges": ranges})
             if size > HELD:
                 yield repeated()
-                held, size = [], 0
+                size = 0
                 seen.clear()
         yield repeated()
 
@@ -185,6 +194,7 @@ def postings(docs: DataFrame, frequent, words: int, threshold: int, hot: int = H
     import xxhash
 
     def post(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        forget()
         tokens, counts = frequent.value
         often = tokens[counts >= hot]
         seen: set[int] = set()
@@ -351,8 +361,8 @@ def verified(pairs: DataFrame, n: int, sets: DataFrame, threshold: int, work: Wo
 
 
 def ends(pairs: DataFrame) -> DataFrame:
-    """The nodes that stand in pairs."""
-    return pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct()
+    """The nodes that stand in pairs: each side's, once, so that rows are as many as nodes and not as pairs."""
+    return pairs.select(F.col("u").alias("node")).distinct().unionByName(pairs.select(F.col("v").alias("node")).distinct()).distinct()
 
 
 def ordered(pairs: DataFrame) -> DataFrame:
@@ -424,24 +434,29 @@ def link(docs: DataFrame, nodes: DataFrame, counts: DataFrame, words: int, thres
     for side in ("a", "b"):
         fewer = fewer.join(posted_long, F.col(side) == F.col("posted"), "left_semi")
     enough = counted.where("lists >= need")
-    near, _ = work.sized((enough.unionByName(fewer) if listed else enough).select("a", "b"))
+    near, _ = work.sized((enough.unionByName(fewer) if listed else enough).select("a", "b", F.col("lists").cast("long").alias("weight")))
     work.drop(lists)
     groups = work.keep(members.groupBy("group").agg(F.min("node").alias("head"), F.count("*").alias("size")))
     many, crowded = work.sized(groups.where("size > 1"))
     several = members.join(small(many, crowded), "group")  # of groups with more than one
-    heads = near.unionByName(star_pairs(long, threshold, work)).distinct() if listed else near
+    heads = near.unionByName(star_pairs(long, threshold, work).distinct().withColumn("weight", F.lit(0).cast("long"))) if listed else near
     for side, end in (("a", "u"), ("b", "v")):
         heads = heads.join(groups.select(F.col("group").alias(side), F.col("head").alias(end)), side)
-    first_pairs = heads.select("u", "v").unionByName(several.select(F.col("node").alias("u"), F.col("head").alias("v")))
-    pairs, n_pairs, named, n = likely(first_pairs, nodes, threshold, work)
+    same = several.select(F.col("node").alias("u"), F.col("head").alias("v"), F.lit(1 << 40).alias("weight"))
+    pairs = heads.select("u", "v", "weight").unionByName(same).where("u <> v")
+    pairs, _ = work.sized(pairs.groupBy(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).agg(F.max("weight").alias("weight")))
+    # one pair for each node, with the partner of the most lists, joins most of what belongs together
+    first = work.keep(pairs.groupBy("v").agg(F.max_by("u", F.struct("weight", -F.col("u"))).alias("u")).select("u", "v"))
+    good, n_pairs, named, n = likely(first, nodes, threshold, work)
     sets = work.keep(sets_of(docs, named, words, n))
-    # one pair for each node, with its least partner, joins most of what belongs together
-    first, n = work.sized(pairs.groupBy("v").agg(F.min("u").alias("u")).select("u", "v"))
-    links, n = verified(first, n, sets, threshold, work)
+    links, n = verified(good, n_pairs, sets, threshold, work)
     roots = components(links, work)
-    rest, n = work.sized(across(pairs.join(first, ["u", "v"], "left_anti"), roots))
-    if n:
-        roots = joined(roots, *verified(rest, n, sets, threshold, work), work)
+    work.drop(sets)
+    # of the others only those between components are described further
+    good, n_pairs, named, n = likely(across(pairs.select("u", "v").join(first, ["u", "v"], "left_anti"), roots), nodes, threshold, work)
+    sets = work.keep(sets_of(docs, named, words, n))
+    if n_pairs:
+        roots = joined(roots, *verified(good, n_pairs, sets, threshold, work), work)
     work.drop(sets)
     # groups become their members, by components
     placed = work.keep(members.join(roots, "node", "left").select("group", "node", F.coalesce("root", "node").alias("comp")))
