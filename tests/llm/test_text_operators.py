@@ -281,3 +281,13 @@ def test_members_are_tried_again(monkeypatch, spark, odd_documents, tmp_path):
     batches = [b for p in reader.partitions() for b in reader.read(p)]
     assert sum(b.num_rows for b in batches) == odd_documents.count() and all(e is None for b in batches for e in b.column("error").to_pylist())
     assert set(calls.values()) == {2}
+
+
+def test_workers_forget_what_other_operators_kept():
+    from tidemark.llm.common import forget, kept
+
+    built = []
+    build = lambda: built.append(1) or len(built)
+    assert (kept("a test's model", build), kept("a test's model", build)) == (1, 1)
+    forget()
+    assert kept("a test's model", build) == 2

@@ -23,11 +23,14 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import forget
+
 #: The most labelled rows that the space and the votes are made from.
 SAMPLE = 6000
 RANK = 48
 NEIGHBOURS = 24
-BLOCK = 512
+#: Texts that are described and compared at once: their cosines with the sample take three times 24 KB each.
+BLOCK = 128
 CLASSES = 16
 TRIGRAMS = CLASSES**3
 BINS = 16
@@ -144,6 +147,7 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
     @F.pandas_udf("binary")
     def features(texts: pd.Series) -> pd.Series:
+        forget()
         return pd.Series([squeeze(r) for a in range(0, len(texts), BLOCK) for r in describe(texts.iloc[a : a + BLOCK].tolist())], index=texts.index)
 
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(known), "id")
@@ -164,6 +168,7 @@ def scorer(docs: DataFrame, space: Space) -> Callable[[Column | str], Column]:
 
     @F.pandas_udf("double")
     def score(texts: pd.Series) -> pd.Series:
+        forget()
         return pd.Series(Space(*shared.value).scores(texts.tolist()), index=texts.index)
 
     return score
