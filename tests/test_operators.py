@@ -65,6 +65,15 @@ def test_entity_resolution(spark):
     assert all(got[i]["confidence"] > 0.75 for i in range(4))
 
 
+def test_tables_written_once_are_not_broadcast_by_their_files_size(spark, tmp_path):
+    names = spark.range(100_000).select("id", F.lit("THE SAME NAME EVERYWHERE").alias("norm"))
+    names.coalesce(1).write.parquet(f"{tmp_path}/names")
+    read = spark.read.parquet(f"{tmp_path}/names")
+    plan = lambda df: df.join(df.withColumnRenamed("norm", "other"), "id")._jdf.queryExecution().sparkPlan().toString()
+    assert "BroadcastHashJoin" in plan(read) and "BroadcastHashJoin" not in plan(resolve.cut(read))
+    assert resolve.cut(read).groupBy("norm").count().first()["count"] == 100_000
+
+
 def test_similarity(spark):
     rows = spark.createDataFrame([("APPLE", "APPLE"), ("", "APPLE"), ("APPLE", "APPLE HOSPITALITY"), ("ALPHA BETA", "BETA ALPHA")], "a string, b string")
     got = [r[0] for r in rows.select(resolve.similarity(F.col("a"), F.col("b"))).collect()]
