@@ -2,8 +2,10 @@
 
 import datetime
 import hashlib
+import random
 import zipfile
 
+import numpy as np
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -74,6 +76,32 @@ def test_tables_written_once_are_not_broadcast_by_their_files_size(spark, tmp_pa
     assert resolve.cut(read).groupBy("norm").count().first()["count"] == 100_000
 
 
+def test_only_candidates_that_cannot_be_nearest_are_left_out():
+    rng = random.Random(3)
+    lefts = [f"BIG RING BRAND X{rng.randrange(16**5):X}" for _ in range(20)] + ["", "RING", "Ä" * 250]
+    rights = [f"BIG RING BRAND X{rng.randrange(16**4):X}" for _ in range(60)] + ["RING BIG", "RING", "", "Ä" * 240, "X BRAND RING"]
+    one, two = (x.ravel() for x in np.mgrid[: len(lefts), : len(rights)])
+    whole = resolve.similarities(lefts, rights, one, two, 0.0)
+    got = resolve.best_similarities(lefts, rights, one, two, np.arange(len(one)), one, 5, 0.0)
+    assert ((got == whole) | (got == 0)).all() and (got[whole > 0] == 0).any()
+    for i in range(len(lefts)):
+        least = np.sort(whole[one == i])[-5]
+        assert (got[one == i][whole[one == i] >= least] == whole[one == i][whole[one == i] >= least]).all()
+
+
+def test_entities_are_joined_without_broadcasts_by_their_files_size(spark, tmp_path):
+    read = []
+    for name in ("cik", "company_id"):
+        rows = spark.range(2000).select(F.concat(F.lit("c"), "id").alias(name), F.concat(F.lit("ZORB X"), F.hex("id")).alias("norm"), F.concat(F.lit("T"), "id").alias("ticker"), F.lit(True).alias("current"))
+        rows.write.parquet(f"{tmp_path}/{name}")
+        read.append(spark.read.parquet(f"{tmp_path}/{name}"))
+    entities, companies = read[0], read[1].drop("current")
+    hints = companies.withColumn("score", F.lit(0.9))
+    profiles = entities.select("cik", F.array("norm").alias("names"), F.array("ticker").alias("tickers"))
+    done = resolve.validate(resolve.gather_candidates(companies, entities, hints), companies, profiles, hints)
+    assert "BroadcastHashJoin" not in done._jdf.queryExecution().sparkPlan().toString()
+
+
 def test_similarity(spark):
     rows = spark.createDataFrame([("APPLE", "APPLE"), ("", "APPLE"), ("APPLE", "APPLE HOSPITALITY"), ("ALPHA BETA", "BETA ALPHA")], "a string, b string")
     got = [r[0] for r in rows.select(resolve.similarity(F.col("a"), F.col("b"))).collect()]

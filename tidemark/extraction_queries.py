@@ -217,7 +217,7 @@ def header_resolution(spark, sf_dir):
 def entity_resolution(spark, sf_dir):
     """All parts as companies, resolved among all parts by their ticker and name."""
     rows = table(spark, sf_dir, "part").select("p_partkey", F.concat_ws(" ", "p_name", "p_brand", F.concat(F.lit("X"), F.hex("p_partkey"))).alias("name"), F.concat(F.lit("T"), "p_partkey").alias("ticker"))
-    rows = resolve.normalised(rows)
+    rows = resolve.cut(resolve.normalised(rows))
     companies = rows.select(F.col("p_partkey").alias("company_id"), "norm", "ticker")
     entities = rows.select(F.col("p_partkey").alias("cik"), "norm", "ticker", F.lit(True).alias("current"))
     hints = companies.select("company_id", "ticker", "norm", F.lit(0.9).alias("score"))
